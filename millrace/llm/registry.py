@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from millrace.llm import op1_chat, op3_toxicity, op4_ogg, op5_url_rules, op6_rule_ledger, op8_bpe, op9_mincut, op10_line_frequency
+from millrace.llm import op1_chat, op2_order_minhash, op3_toxicity, op4_ogg, op5_url_rules, op6_rule_ledger, op8_bpe, op9_mincut, op10_line_frequency
 
 QUERIES = {
     "op1_chat_rotation": op1_chat.op1_chat_rotation,
+    "op2_order_minhash": op2_order_minhash.op2_order_minhash,
     "op3_toxicity_grammar": op3_toxicity.op3_toxicity_grammar,
     "op4_ogg_samples": op4_ogg.op4_ogg_samples,
     "op5_url_association_rules": op5_url_rules.op5_url_association_rules,
