@@ -26,11 +26,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table, text_of
+from millrace.llm.common import fields, table, text_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Pre-tokens that a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Pre-tokens that a worker remembers: the newer half is kept when the older half goes.
+REMEMBERED = 300_000
+#: Rows that a worker hands back at a time.
+SLICE = 500
 
 
 class MinimalPerfectHash:
@@ -81,6 +83,7 @@ class Coder:
         self.tokens = {i: x for x, i in self.ranks.items()}
         self.split = regex.compile(pattern).findall
         self.met: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> list[int]:
         n, rank = len(word), self.ranks
@@ -106,10 +109,12 @@ class Coder:
         return ids
 
     def one(self, word: str) -> bytes:
-        raw = word.encode()
-        slot = self.hash.find(raw)
-        ids = self.packed[slot] if slot >= 0 else struct.pack(f"<{len(found := self.merge(raw))}I", *found)
-        if len(self.met) >= REMEMBERED:
+        if (ids := self.older.get(word)) is None:
+            raw = word.encode()
+            slot = self.hash.find(raw)
+            ids = self.packed[slot] if slot >= 0 else struct.pack(f"<{len(found := self.merge(raw))}I", *found)
+        if 2 * len(self.met) >= REMEMBERED:
+            self.older = dict(self.met)
             self.met.clear()
         self.met[word] = ids
         return ids
@@ -122,6 +127,12 @@ class Coder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+def sliced(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.iloc[at : at + SLICE]
+
+
 _coders: dict[str, Coder] = {}
 
 
@@ -134,7 +145,7 @@ def coder(ranks: bytes, pattern: str) -> Coder:
 
 
 class Tokenizer:
-    """encode() and decode() make columns. ranks: bytes of a rank file; pattern: what splits texts."""
+    """encode(), decode() and both() make columns. ranks: bytes of a rank file; pattern: what splits texts."""
 
     def __init__(self, spark: SparkSession, ranks: bytes, pattern: str = public_tokenizers.PATTERN) -> None:
         shared = spark.sparkContext.broadcast(ranks)
@@ -142,16 +153,23 @@ class Tokenizer:
         @F.pandas_udf("binary")
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             own = coder(shared.value, pattern)
-            for texts in batches:
+            for texts in sliced(batches):
                 yield pd.Series([own.encode(x) for x in texts], dtype=object)
 
         @F.pandas_udf("binary")
         def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             own = coder(shared.value, pattern)
-            for ids in batches:
+            for ids in sliced(batches):
                 yield pd.Series([own.decode(x) for x in ids], dtype=object)
 
-        self._encode, self._decode = encode, decode
+        @F.pandas_udf(fields("ids binary, decoded binary"))
+        def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            own = coder(shared.value, pattern)
+            for texts in sliced(batches):
+                ids = [own.encode(x) for x in texts]
+                yield pd.DataFrame({"ids": ids, "decoded": list(map(own.decode, ids))})
+
+        self._encode, self._decode, self._both = encode, decode, both
 
     def encode(self, text: str | Column) -> Column:
         return self._encode(text_of(text))
@@ -160,6 +178,10 @@ class Tokenizer:
         """Bytes; cast them to string if they are known to be whole characters."""
         return self._decode(ids)
 
+    def both(self, text: str | Column) -> Column:
+        """A struct of the ids and of what they decode to, in one pass."""
+        return self._both(text_of(text))
+
 
 def rank_file(path: str) -> bytes:
     with open(path, "rb") as f:
@@ -168,6 +190,5 @@ def rank_file(path: str) -> bytes:
 
 def op8_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = Tokenizer(spark, rank_file(public_tokenizers.path(VOCABULARY)))
-    coded = table(spark, sf_dir, "documents").select("doc_id", tokenizer.encode("text").alias("ids"))
-    back = coded.select("doc_id", "ids", tokenizer.decode("ids").alias("decoded"))
+    back = table(spark, sf_dir, "documents").select("doc_id", tokenizer.both("text").alias("b")).select("doc_id", "b.ids", "b.decoded")
     return back.select("doc_id", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
