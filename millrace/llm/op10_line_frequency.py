@@ -76,7 +76,8 @@ def op10_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_lines(docs)
+    """documents without their boilerplate lines; n_chars follows the text."""
+    return drop_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def sql(documents: str, columns: str, limits: Boilerplate = Boilerplate()) -> str:

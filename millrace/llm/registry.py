@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import op1_chat, op2_order_minhash, op3_toxicity, op4_ogg, op5_url_rules, op6_rule_ledger, op8_bpe, op9_mincut, op10_line_frequency
+from millrace.llm import op1_chat, op2_order_minhash, op3_toxicity, op4_ogg, op5_url_rules, op6_rule_ledger, op7_retrieval_packing, op8_bpe, op9_mincut, op10_line_frequency
 
 QUERIES = {
     "op1_chat_rotation": op1_chat.op1_chat_rotation,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_ogg_samples": op4_ogg.op4_ogg_samples,
     "op5_url_association_rules": op5_url_rules.op5_url_association_rules,
     "op6_rule_ledger": op6_rule_ledger.op6_rule_ledger,
+    "op7_retrieval_packing": op7_retrieval_packing.op7_retrieval_packing,
     "op8_two_tier_bpe": op8_bpe.op8_two_tier_bpe,
     "op9_mincut_extraction": op9_mincut.op9_mincut_extraction,
     "op10_site_line_frequency": op10_line_frequency.op10_site_line_frequency,
