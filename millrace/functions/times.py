@@ -12,7 +12,7 @@ def instant(x: Column) -> Column:
 
 
 def elapsed_days(start: Column, end: Column) -> Column:
-    return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(86_400_000_000.0)
+    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(86_400_000_000.0)
 
 
 def age_days(x: Column, as_of: str) -> Column:

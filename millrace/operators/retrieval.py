@@ -19,7 +19,10 @@ class BM25:
 
 def postings(fields: Sequence[tuple[Column, float]], docs: DataFrame, id: str) -> DataFrame:
     """doc, term, tf: each field's tokens count with its weight."""
-    weighted = [F.transform(c, lambda t, w=w: F.struct(t.alias("term"), F.lit(float(w)).alias("w"))) for c, w in fields]
+    def weigh(tokens: Column, w: float) -> Column:
+        return F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(float(w)).alias("w")))
+
+    weighted = [weigh(c, w) for c, w in fields]
     return docs.select(F.col(id).alias("doc"), F.explode(F.flatten(F.array(*weighted)) if len(weighted) > 1 else weighted[0]).alias("t")).groupBy("doc", F.col("t.term").alias("term")).agg(F.sum("t.w").alias("tf"))
 
 
