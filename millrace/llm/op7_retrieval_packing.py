@@ -1,17 +1,16 @@
 """Sequence packing by lexical retrieval: documents fill each other's windows by BM25.
 
-Texts become token ids once, stored as Parquet in the shared folder. Document frequencies, the number of documents and their mean
-length are counted over all of them. Documents are then dealt to shards of bounded size by range, in an order that puts those with
-the same rarest tokens side by side (ranks of a byte-level BPE vocabulary grow with rarity; a hash of the ids splits groups of
-copies). A shard builds its inverted index a block of documents at a time and packs in order: whole windows of a document stand
-alone; what is left of it is a seed, whose highest weighted tokens are the query. Its unused neighbours fill the window, best first
-as long as they fit whole; the best that does not is cut to fill the window, and its rest is the next seed. Where no neighbour is
-left, the next unused document fills. A shard's last open window is cut into sequences whose lengths are powers of two, so nothing
-is padded.
+Texts become token ids once, stored as Parquet in the shared folder. Document frequencies and the number of documents are counted
+over all of them. Whole windows of a document stand alone and are never shuffled. What is left of a document, less than a window, is
+dealt to shards of bounded size by range, in an order that puts those with the same rarest tokens side by side (ranks of a
+byte-level BPE vocabulary grow with rarity; a hash of the ids splits groups of copies). A shard builds its inverted index a block of
+documents at a time and packs in order: a document is a seed, whose highest weighted tokens are the query. Its unused neighbours
+fill the window, best first as long as they fit whole; the best that does not is cut to fill the window, and its rest is the next
+seed. Where no neighbour is left, the next unused document fills. A shard's last open window is cut into sequences whose lengths are
+powers of two, so nothing is padded.
 
 The vocabulary is that of the named rank file, which gives the ids of its `tokenizers` twin; the vectors that come to the driver and
-are broadcast have one number for each entry of the vocabulary. A block holds at most `block_docs` documents and about
-`block_tokens` tokens, beyond which only a single longer document goes.
+are broadcast have one number for each entry of the vocabulary. A block holds at most `block_docs` rests, each below a window.
 
 Defined results: a null text is an empty one, and its only id is the end of the document; every id of every row, repeated rows
 included, is in exactly one piece; a null document id is carried along; an empty table gives an empty result.
@@ -48,9 +47,8 @@ class Packing:
     query_terms: int = 16
     k1: float = 1.2
     b: float = 0.75
-    shard_tokens: int = 8_000_000
+    shard_tokens: int = 4_000_000
     block_docs: int = 2048
-    block_tokens: int = 3_000_000
 
 
 _encodings: dict[str, tiktoken.Encoding] = {}
@@ -64,11 +62,11 @@ def encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
     return _encodings[key]
 
 
-def tokenized(docs: DataFrame, ranks: bytes, text: str, keys: tuple[str, ...], pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """keys (an array of strings), ids (two bytes each, the last is END), n, place (what shards are ordered by) and salt."""
+def tokenized(docs: DataFrame, ranks: bytes, text: str, keys: tuple[str, ...], window: int, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """keys (an array of strings), ids (two bytes each, the last is END), n, rest (ids that fill no window), place (what shards are ordered by: the rarest two ids of the rest) and salt."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    @F.pandas_udf(fields("ids binary, n long, place long, salt long"))
+    @F.pandas_udf(fields("ids binary, n long, rest long, place long, salt long"))
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = encoding(shared.value, pattern)
         for batch in batches:
@@ -76,10 +74,10 @@ def tokenized(docs: DataFrame, ranks: bytes, text: str, keys: tuple[str, ...], p
                 rows = []
                 for text in batch.iloc[at : at + 1000]:
                     ids = np.array([*coder.encode_ordinary(text), END], "<u2")
-                    rare = np.unique(ids)[-2:].astype(np.int64)
-                    raw = ids.tobytes()
-                    rows.append((raw, len(ids), int(rare[-1]) << 16 | int(rare[0]), zlib.crc32(raw)))
-                yield pd.DataFrame(rows, columns=["ids", "n", "place", "salt"])
+                    tail = ids[len(ids) - len(ids) % window :]
+                    rare = np.unique(tail)[-2:].tolist() or [0]
+                    rows.append((ids.tobytes(), len(ids), len(tail), rare[-1] << 16 | rare[0], zlib.crc32(tail.tobytes())))
+                yield pd.DataFrame(rows, columns=["ids", "n", "rest", "place", "salt"])
 
     held = F.array(*[F.col(f"`{c}`").cast("string") for c in keys])
     return docs.select(held.alias("keys"), tokens(text_of(F.col(f"`{text}`"))).alias("t")).select("keys", "t.*")
@@ -145,14 +143,9 @@ Piece = tuple[int, int, int]  # a document's number, where the piece starts, its
 
 
 def pack(sizes: list[int], index: Block, window: int, opened: list[Piece]) -> Iterator[list[Piece]]:
-    """Full windows; opened holds what is left over, and what earlier blocks left over on entry."""
+    """Full windows of documents that are each shorter than one; opened holds what is left over, and what earlier blocks left over on entry."""
     free = np.ones(len(sizes), np.int8)
     start, rest = [0] * len(sizes), list(sizes)
-    for d, size in enumerate(sizes):
-        for at in range(0, size - size % window, window):
-            yield [(d, at, window)]
-        start[d], rest[d] = size - size % window, size % window
-        free[d] = rest[d] > 0
     space = window - sum(x[2] for x in opened)
     cursor, seed = 0, -1
 
@@ -216,15 +209,28 @@ def packed(docs: DataFrame, ranks: bytes, text: str = "text", keys: tuple[str, .
     """The pieces: the key columns, start, length, ids (binary, four bytes each), doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     size = len(ranks.split(b"\n")) + 1
-    tokens = stored(tokenized(docs, ranks, text, keys), "tokens")
-    n_docs, total = tokens.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    window = packing.window
+    tokens = stored(tokenized(docs, ranks, text, keys, window), "tokens")
+    n_docs, n_rests, total = tokens.agg(F.count(F.lit(1)), F.count_if(F.col("rest") > 0), F.coalesce(F.sum("rest"), F.lit(0))).first()
     df = frequencies(tokens, size)
     idf = spark.sparkContext.broadcast(np.log1p((n_docs - df + 0.5) / (df + 0.5)).astype(np.float32))
-    mean = total / max(1, n_docs)
+    mean = total / max(1, n_rests)
     out = T.StructType([T.StructField("keys", T.ArrayType(T.StringType())), *fields("start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")])
 
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, counter = 2 * TaskContext.get().partitionId() << 40, 0
+        for batch in batches:
+            for first in range(0, len(batch), 500):
+                rows = []
+                for row, raw, n in batch[["keys", "ids", "n"]].iloc[first : first + 500].itertuples(index=False):
+                    ids = np.frombuffer(raw, "<u2").astype("<u4")
+                    for at in range(0, n - n % window, window):
+                        rows.append((row, at, window, ids[at : at + window].tobytes(), n, number | counter, 0))
+                        counter += 1
+                yield pd.DataFrame(rows, columns=out.names)
+
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = TaskContext.get().partitionId()
+        number = 2 * TaskContext.get().partitionId() + 1 << 40
         counter, known, opened = 0, {}, []
         rows: list[tuple] = []
 
@@ -232,8 +238,8 @@ def packed(docs: DataFrame, ranks: bytes, text: str = "text", keys: tuple[str, .
             nonlocal counter
             offset = 0
             for d, at, n in pieces:
-                row, ids = known[d]
-                rows.append((row, at, n, ids[at : at + n].astype("<u4").tobytes(), len(ids), number << 40 | counter, offset))
+                row, base, ids = known[d]
+                rows.append((row, base + at, n, ids[at : at + n].astype("<u4").tobytes(), base + len(ids), number | counter, offset))
                 offset += n
             counter += 1
 
@@ -242,7 +248,7 @@ def packed(docs: DataFrame, ranks: bytes, text: str = "text", keys: tuple[str, .
             rows.clear()
             return made
 
-        def run(block: list[tuple[list, np.ndarray]]) -> None:
+        def run(block: list[tuple[list, int, np.ndarray]]) -> None:
             nonlocal opened
             # what an earlier block left open goes on under numbers below zero
             before = {-i - 1: known[d] for i, (d, _, _) in enumerate(opened)}
@@ -250,20 +256,18 @@ def packed(docs: DataFrame, ranks: bytes, text: str = "text", keys: tuple[str, .
             known.clear()
             known.update(before)
             known.update(enumerate(block))
-            ids = [x[1] for x in block]
-            for pieces in pack([len(x) for x in ids], Block(ids, idf.value, mean, packing), packing.window, opened):
+            ids = [x[2] for x in block]
+            for pieces in pack([len(x) for x in ids], Block(ids, idf.value, mean, packing), window, opened):
                 emit(pieces)
 
-        block, held = [], 0
+        block: list[tuple[list, int, np.ndarray]] = []
         for batch in batches:
-            for row, raw in zip(batch["keys"], batch["ids"], strict=True):
-                ids = np.frombuffer(raw, "<u2")
-                if block and (len(block) >= packing.block_docs or held + len(ids) > packing.block_tokens):
+            for row, base, raw in batch[["keys", "base", "ids"]].itertuples(index=False):
+                block.append((row, base, np.frombuffer(raw, "<u2")))
+                if len(block) == packing.block_docs:
                     run(block)
                     yield frame()
-                    block, held = [], 0
-                block.append((row, ids))
-                held += len(ids)
+                    block = []
         if block:
             run(block)
         for pieces in powers(opened):
@@ -272,8 +276,10 @@ def packed(docs: DataFrame, ranks: bytes, text: str = "text", keys: tuple[str, .
             yield frame()
 
     shards = max(1, -(-total // packing.shard_tokens))
-    dealt = tokens.select("keys", "ids", "place", "salt").repartitionByRange(shards, "place", "salt").sortWithinPartitions("place", "salt", "keys")
-    pieces = dealt.select("keys", "ids").mapInPandas(shard, out)
+    base = F.col("n") - F.col("rest")
+    rests = tokens.where("rest > 0").select("keys", base.alias("base"), F.expr("substring(ids, cast(2 * (n - rest) + 1 as int), cast(2 * rest as int))").alias("ids"), "place", "salt")
+    dealt = rests.repartitionByRange(shards, "place", "salt").sortWithinPartitions("place", "salt", "keys", "base")
+    pieces = tokens.where(F.col("n") >= window).select("keys", "ids", "n").mapInPandas(whole, out).unionByName(dealt.select("keys", "base", "ids").mapInPandas(shard, out))
     kinds = dict(docs.select(*[f"`{c}`" for c in keys]).dtypes)
     return pieces.select(*[F.col("keys")[i].cast(kinds[c]).alias(c) for i, c in enumerate(keys)], *out.names[1:])
 
