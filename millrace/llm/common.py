@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,3 +57,16 @@ def text_of(column: str | Column) -> Column:
 def wide_hash(*columns: Column) -> Column:
     """A struct of two unlike hashes, 96 bits in all, made inside the JVM."""
     return F.struct(F.xxhash64(*columns).alias("a"), F.hash(*columns).alias("b"))
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for work that ends inside the block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
