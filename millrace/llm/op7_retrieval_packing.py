@@ -3,7 +3,7 @@
 Texts become token ids once, stored as Parquet in the shared folder. Document frequencies and the number of documents are counted
 over all of them. Whole windows of a document stand alone and are never shuffled. What is left of a document, less than a window, is
 dealt to shards of bounded size by range, in an order that puts those with the same rarest tokens side by side (ranks of a
-byte-level BPE vocabulary grow with rarity; a hash of the ids splits groups of copies). A shard builds its inverted index a block of
+byte-level BPE vocabulary grow with rarity; hashes of the ids and of the keys split groups of copies). A shard builds its inverted index a block of
 documents at a time and packs in order: a document is a seed, whose highest weighted tokens are the query. Its unused neighbours
 fill the window, best first as long as they fit whole; the best that does not is cut to fill the window, and its rest is the next
 seed. Where no neighbour is left, the next unused document fills. A shard's last open window is cut into sequences whose lengths are
@@ -277,8 +277,8 @@ def packed(docs: DataFrame, ranks: bytes, text: str = "text", keys: tuple[str, .
 
     shards = max(1, -(-total // packing.shard_tokens))
     base = F.col("n") - F.col("rest")
-    rests = tokens.where("rest > 0").select("keys", base.alias("base"), F.expr("substring(ids, cast(2 * (n - rest) + 1 as int), cast(2 * rest as int))").alias("ids"), "place", "salt")
-    dealt = rests.repartitionByRange(shards, "place", "salt").sortWithinPartitions("place", "salt", "keys", "base")
+    rests = tokens.where("rest > 0").select("keys", base.alias("base"), F.expr("substring(ids, cast(2 * (n - rest) + 1 as int), cast(2 * rest as int))").alias("ids"), "place", "salt", F.xxhash64("keys").alias("spread"))
+    dealt = rests.repartitionByRange(shards, "place", "salt", "spread").sortWithinPartitions("place", "salt", "spread", "keys", "base")
     pieces = tokens.where(F.col("n") >= window).select("keys", "ids", "n").mapInPandas(whole, out).unionByName(dealt.select("keys", "base", "ids").mapInPandas(shard, out))
     kinds = dict(docs.select(*[f"`{c}`" for c in keys]).dtypes)
     return pieces.select(*[F.col("keys")[i].cast(kinds[c]).alias(c) for i, c in enumerate(keys)], *out.names[1:])
