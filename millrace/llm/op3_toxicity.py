@@ -44,10 +44,11 @@ EMISSIONS = ("plain", "aimed", "negated", "reported", "threat", "loose_threat")
 
 @dataclass(frozen=True)
 class Fit:
-    """max_rows: labelled rows learned from. max_patterns: entries of the insult lexicon. margin: natural logarithm by which an association must beat chance over all candidates. prior: weights of the bias and the emissions before any row is seen, and how firmly."""
+    """max_rows: labelled rows learned from. max_patterns: entries of the insult lexicon. min_share: of the texts with a pattern, those that are toxic. margin: natural logarithm by which an association must beat chance over all candidates. prior: weights of the bias and the emissions before any row is seen, and how firmly."""
 
     max_rows: int = 20_000
     max_patterns: int = 5_000
+    min_share: float = 0.9
     margin: float = 3.0
     prior: tuple[float, ...] = (-3.5, 6.0, 7.0, 3.0, 3.0, 5.0, 1.0)
     firmness: float = 1.0
@@ -145,7 +146,7 @@ def lexicon(rows: DataFrame, fit: Fit) -> dict[str, float]:
     # by the Chernoff bound, n times the divergence of the pattern's toxic share from the base rate is the logarithm of how unlikely chance is
     share = F.col("k") / F.col("n")
     beyond = F.col("n") * (share * F.log(share / base) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0))
-    found = counts.where(share > 0.5).withColumn("beyond", beyond).where(F.col("beyond") > math.log(max(1, counts.count())) + fit.margin)
+    found = counts.where(share >= fit.min_share).withColumn("beyond", beyond).where(F.col("beyond") > math.log(max(1, counts.count())) + fit.margin)
     odds = F.log((F.col("k") + 0.5) / (F.col("n") - F.col("k") + 0.5))
     best = found.orderBy(F.desc("beyond"), "pattern").limit(fit.max_patterns).select("pattern", odds.alias("odds")).collect()
     return {r["pattern"]: round(float(r["odds"]) / 5, 6) for r in best}
