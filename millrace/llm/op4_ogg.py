@@ -129,27 +129,52 @@ def padded(text: str) -> tuple[bytes, int]:
     return raw + b"\xff" * (max(PACKET, -(-len(raw) // PACKET) * PACKET) - len(raw)), len(raw)
 
 
+#: Rows that a worker hands back at a time.
+SLICE = 500
+FOUND = ("n_bytes", "payload", "n_packets", "seconds", "feature")
+
+
+def sliced(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.iloc[at : at + SLICE]
+
+
+def stored(text: str) -> bytes:
+    payload, n = padded(text)
+    return write(payload, {"n_bytes": n})
+
+
+def found(media: bytes) -> tuple:
+    payload, times, notes = samples(read(media))
+    return notes["n_bytes"], payload, len(times), times[-1], feature(payload, times)
+
+
 @F.pandas_udf(fields("media binary")["media"].dataType)
 def stored_media(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Texts as Ogg files."""
-    for texts in batches:
-        yield pd.Series([write(p, {"n_bytes": n}) for p, n in map(padded, texts)], dtype=object)
+    for texts in sliced(batches):
+        yield pd.Series(list(map(stored, texts)), dtype=object)
 
 
 @F.pandas_udf(fields("n_bytes long, payload binary, n_packets long, seconds double, feature string"))
 def read_media(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for files in batches:
-        rows = []
-        for media in files:
-            payload, times, notes = samples(read(media))
-            rows.append((notes["n_bytes"], payload, len(times), times[-1], feature(payload, times)))
-        yield pd.DataFrame(rows, columns=["n_bytes", "payload", "n_packets", "seconds", "feature"])
+    """What Ogg files hold."""
+    for files in sliced(batches):
+        yield pd.DataFrame(list(map(found, files)), columns=FOUND)
+
+
+@F.pandas_udf(fields("media binary, n_bytes long, payload binary, n_packets long, seconds double, feature string"))
+def stored_and_read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Both in one pass: the files, and what is read back from their bytes."""
+    for texts in sliced(batches):
+        files = list(map(stored, texts))
+        yield pd.DataFrame([(media, *found(media)) for media in files], columns=("media", *FOUND))
 
 
 def op4_ogg_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    media = table(spark, sf_dir, "documents").select("doc_id", stored_media(text_of("text")).alias("media"))
-    back = media.select("doc_id", "media", read_media("media").alias("r"))
+    back = table(spark, sf_dir, "documents").select("doc_id", stored_and_read(text_of("text")).alias("r"))
     return back.select(
         "doc_id", "r.n_bytes", F.octet_length("r.payload").cast("long").alias("payload_bytes"), F.sha2("r.payload", 256).alias("payload_sha256"),
-        F.crc32(F.expr("substring(r.payload, -32, 32)")).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "r.feature", "r.n_packets", "r.seconds",
+        F.crc32(F.expr("substring(r.payload, -32, 32)")).alias("tail_crc32"), F.octet_length("r.media").cast("long").alias("media_bytes"), F.sha2("r.media", 256).alias("media_sha256"), "r.feature", "r.n_packets", "r.seconds",
     )

@@ -115,6 +115,9 @@ def test_ogg_query(spark, tmp_path):
         payload, n = op4_ogg.padded(text or "")
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+    apart = spark.read.parquet(str(tmp_path / "documents.parquet")).select("doc_id", op4_ogg.stored_media(F.coalesce("text", F.lit(""))).alias("media"))
+    again = apart.select("doc_id", F.sha2("media", 256).alias("m"), op4_ogg.read_media("media").alias("r")).collect()
+    assert all(r.m == got[r.doc_id].media_sha256 and r.r.feature == got[r.doc_id].feature for r in again)
     assert got[2].media_sha256 == got[3].media_sha256 and got[0].media_sha256 == got[1].media_sha256 != got[2].media_sha256
 
 
