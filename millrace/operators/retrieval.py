@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scores import rounded
+from millrace.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,8 @@ class Index:
 
 
 def index(found: DataFrame) -> Index:
-    """Statistics over all documents. Two numbers come to the driver."""
+    """Statistics over all documents. Postings are made once and written; two numbers come to the driver."""
+    found = checkpointed(found)
     lengths = found.groupBy("doc").agg(F.sum("tf").alias("length"))
     n, total = lengths.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0.0))).first()
     df = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -34,7 +34,7 @@ def longest_name(texts: DataFrame, names: DataFrame, id: str, tokens: Column) ->
     words = texts.select(id, tokens.alias("w"))
     runs = words.select(id, F.explode(F.sequence(F.lit(1), F.lit(most))).alias("k"), "w").where(F.size("w") >= F.col("k"))
     runs = runs.select(id, "k", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("k") + 1), lambda i: F.array_join(F.slice("w", i, F.col("k")), " "))).alias("name"))
-    hits = runs.distinct().join(small(names), "name")
+    hits = runs.join(small(names), "name").distinct()
     length = F.length("name")
     best = hits.withColumn("place", F.rank().over(Window.partitionBy(id).orderBy(F.desc(length)))).where("place = 1")
     return best.groupBy(id).agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name")).where("n = 1").drop("n")
