@@ -9,7 +9,8 @@ fill the window, best first as long as they fit whole; the best that does not is
 seed. Where no neighbour is left, the next unused document fills. A shard's last open window is cut into sequences whose lengths are
 powers of two, so nothing is padded.
 
-The vocabulary is that of the named rank file, which gives the ids of its `tokenizers` twin; the vectors that come to the driver and
+The vocabulary is that of the named rank file, which gives the ids of its `tokenizers` twin; a text is split at the added tokens of
+that twin first (`<|endoftext|>`), which get their own ids, as the library does; the vectors that come to the driver and
 are broadcast have one number for each entry of the vocabulary. A block holds at most `block_docs` rests, each below a window.
 
 Defined results: a null text is an empty one, and its only id is the end of the document; every id of every row, repeated rows
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,6 +38,7 @@ from pyspark.sql import types as T
 from millrace.llm.common import fields, stored, table, text_of
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+TWIN = "byte_bpe_50k.json"
 END = 0
 
 
@@ -54,26 +57,36 @@ class Packing:
 _encodings: dict[str, tiktoken.Encoding] = {}
 
 
-def encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
-    key = hashlib.sha256(ranks + pattern.encode()).hexdigest()
+def added_tokens(name: str = TWIN) -> dict[str, int]:
+    """The tokens that the library's file has besides its vocabulary, matched as they stand."""
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    assert not any(x[k] for x in found for k in ("single_word", "lstrip", "rstrip", "normalized")), found
+    return {x["content"]: x["id"] for x in found}
+
+
+def encoding(ranks: bytes, pattern: str, added: dict[str, int]) -> tiktoken.Encoding:
+    key = hashlib.sha256(ranks + pattern.encode() + json.dumps(added).encode()).hexdigest()
     if key not in _encodings:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
-        _encodings[key] = tiktoken.Encoding(key[:16], pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        _encodings[key] = tiktoken.Encoding(key[:16], pat_str=pattern, mergeable_ranks=table, special_tokens=added)
     return _encodings[key]
 
 
-def tokenized(docs: DataFrame, ranks: bytes, text: str, keys: tuple[str, ...], window: int, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def tokenized(docs: DataFrame, ranks: bytes, text: str, keys: tuple[str, ...], window: int, pattern: str = public_tokenizers.PATTERN, added: dict[str, int] | None = None) -> DataFrame:
     """keys (an array of strings), ids (two bytes each, the last is END), n, rest (ids that fill no window), place (what shards are ordered by: the rarest two ids of the rest) and salt."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    added = added_tokens() if added is None else added
 
     @F.pandas_udf(fields("ids binary, n long, rest long, place long, salt long"))
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coder = encoding(shared.value, pattern)
+        coder = encoding(shared.value, pattern, added)
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 rows = []
                 for text in batch.iloc[at : at + 1000]:
-                    ids = np.array([*coder.encode_ordinary(text), END], "<u2")
+                    found = coder.encode(text, allowed_special="all") if any(x in text for x in added) else coder.encode_ordinary(text)
+                    ids = np.array([*found, END], "<u2")
                     tail = ids[len(ids) - len(ids) % window :]
                     rare = np.unique(tail)[-2:].tolist() or [0]
                     rows.append((ids.tobytes(), len(ids), len(tail), rare[-1] << 16 | rare[0], zlib.crc32(tail.tobytes())))
@@ -208,9 +221,10 @@ def powers(pieces: list[Piece]) -> Iterator[list[Piece]]:
 def packed(docs: DataFrame, ranks: bytes, text: str = "text", keys: tuple[str, ...] = ("doc_id",), packing: Packing = Packing()) -> DataFrame:
     """The pieces: the key columns, start, length, ids (binary, four bytes each), doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
-    size = len(ranks.split(b"\n")) + 1
+    added = added_tokens()
+    size = max([len(ranks.split(b"\n")), *added.values()]) + 1
     window = packing.window
-    tokens = stored(tokenized(docs, ranks, text, keys, window), "tokens")
+    tokens = stored(tokenized(docs, ranks, text, keys, window, added=added), "tokens")
     n_docs, n_rests, total = tokens.agg(F.count(F.lit(1)), F.count_if(F.col("rest") > 0), F.coalesce(F.sum("rest"), F.lit(0))).first()
     df = frequencies(tokens, size)
     idf = spark.sparkContext.broadcast(np.log1p((n_docs - df + 0.5) / (df + 0.5)).astype(np.float32))

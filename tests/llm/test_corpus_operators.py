@@ -219,6 +219,19 @@ def test_packing_is_exact(spark):
     assert op7_retrieval_packing.packed(frame.limit(0), op7_retrieval_packing.rank_file()).count() == 0
 
 
+def test_added_tokens_have_the_ids_of_the_library(spark):
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"tail  {end}  head\n", "<|endoftext| >", f"one{end}", f"{end} two", "<|endoftext", "plain"] + [f"w{i} {end} x{i}" for i in range(20)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = defaultdict(list)
+    for r in op7_retrieval_packing.packed(frame, op7_retrieval_packing.rank_file()).collect():
+        found[r.doc_id].append(r)
+    for i, t in enumerate(texts):
+        ids = np.frombuffer(b"".join(bytes(r.ids) for r in sorted(found[i], key=lambda r: r.start)), "<u4").tolist()
+        assert ids == [*library.encode(t, add_special_tokens=False).ids, 0] and all(r.doc_tokens == len(ids) for r in found[i]), t
+
+
 def test_neighbours_are_lexical():
     rng = np.random.default_rng(1)
     docs = [np.append(rng.integers(100 * (d % 4) + 1, 100 * (d % 4) + 60, 50), 0).astype("<u2") for d in range(40)]
