@@ -1,10 +1,12 @@
 """URL filtering: given host and path rules first, then association rules that FP-growth mines from labelled URLs.
 
-A URL becomes at most eleven items (scheme, top domain, domain, first host label, depth, first and last path part with digits
-masked, extension, query keys, presence of a fragment), so that a transaction has a bounded number of item sets however long
-the URL is. Transactions of labelled URLs carry one more item if the URL is bad. FP-growth's item sets that contain it give
-rules, pruned by support and confidence and by any more general rule that is as confident. They match by an inverted index
-from item to rule: a rule applies if all its items are found.
+A URL becomes a set of items: scheme, top domain, domain, every host label, the first label, depth, every path part, the first and
+the last one, extension, every query key, every key with its value, all keys joined, presence of a fragment; digits of parts and
+values are masked. Two exact steps keep the transactions small however long URLs are. An item that too few bad URLs have is in no
+rule and goes. Items that the same labelled URLs have form a class, of which one item stands for all: a rule with two of a class is
+implied by the one without the second, and a rule that is found holds for each item of its classes in turn. Transactions of labelled
+URLs carry one more item if the URL is bad. FP-growth's item sets that contain it give rules, pruned by support and confidence and by
+any more general rule that is as confident. They match by an inverted index from item to rule: a rule applies if all its items are found.
 
 Only DataFrame operations and Spark's own FP-growth are used. Defined results: a null URL, or one without `://`, has an empty
 host and path and no items, and is allowed; repeated URLs are judged alike; with no labelled URLs there is no mined rule.
@@ -12,13 +14,14 @@ host and path and no items, and is allowed; repeated URLs are judged alike; with
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, table
+from millrace.llm.common import cut, table, wide_hash
 
 BAD = "label=bad"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -54,35 +57,69 @@ def items_of(url: Column) -> Column:
     mask = lambda x: F.regexp_replace(x, "[0-9]+", "0")
     item = lambda name, x: F.when(x != "", F.concat(F.lit(f"{name}="), x))
     query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
-    keys = F.array_join(F.array_sort(F.array_distinct(F.transform(F.split(query, "&"), lambda x: F.regexp_extract(x, r"^([^=]*)", 1)))), "&")
+    pairs = F.split(query, "&")
+    keys = F.array_sort(F.array_distinct(F.transform(pairs, lambda x: F.regexp_extract(x, r"^([^=]*)", 1))))
+    each = lambda name, xs: F.transform(F.filter(xs, lambda x: x != ""), lambda x: F.concat(F.lit(f"{name}="), x))
     last = F.coalesce(F.try_element_at(parts, F.lit(-1)), F.lit(""))
     found = F.array(
         item("scheme", F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))), item("top", F.try_element_at(labels, F.lit(-1))),
         item("domain", F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), ".")), item("first_label", F.try_element_at(labels, F.lit(1))),
         item("labels", F.least(F.size(labels), F.lit(9)).cast("string")), item("depth", F.least(F.size(parts), F.lit(9)).cast("string")),
         item("first_part", mask(F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit("")))), item("last_part", mask(last)), item("extension", F.lower(F.regexp_extract(last, r"\.([A-Za-z0-9]{1,8})$", 1))),
-        item("query", keys), F.when(url.contains("#"), F.lit("fragment")),
+        item("query", F.array_join(keys, "&")), F.when(url.contains("#"), F.lit("fragment")),
     )
+    below = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 1, F.lit(0)))
+    found = F.concat(found, each("host_label", below), each("part", F.transform(parts, mask)), each("key", keys), each("pair", F.transform(pairs, mask)))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.array_compact(found)))
 
 
+def classes_of(kinds: DataFrame, least: int) -> DataFrame:
+    """kinds: items, bad, n, kind (a key). rep, members: the items that at least so many bad URLs have, together if the same kinds have them."""
+    each = kinds.select("kind", "bad", "n", F.explode("items").alias("item"))
+    # two unlike 64-bit sums over the kinds and their number tell equal sets of kinds
+    seen = each.groupBy("item").agg(F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("n_bad"), F.count(F.lit(1)).alias("n_kinds"), F.bit_xor("kind.a").alias("a"), F.bit_xor(F.xxhash64("kind.b", "kind.a")).alias("b"))
+    return seen.where(F.col("n_bad") >= least).groupBy("a", "b", "n_kinds").agg(F.min("item").alias("rep"), F.array_sort(F.collect_list("item")).alias("members")).select("rep", "members")
+
+
+def with_members(rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """A rule for each choice of one item from each of its classes."""
+    parts = rules.select("items", "confidence", "n", F.explode("items").alias("rep")).join(classes, "rep").groupBy("items", "confidence", "n").agg(F.collect_list("members").alias("lists"))
+    chosen = F.aggregate("lists", F.array(F.array().cast("array<string>")), lambda done, xs: F.flatten(F.transform(done, lambda d: F.transform(xs, lambda x: F.array_append(d, x)))))
+    return parts.select(F.explode(chosen).alias("items"), "confidence", "n").withColumn("items", F.array_sort("items")).select(F.xxhash64("items").alias("rule"), "items", "confidence", "n")
+
+
 def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """labelled: url, bad (boolean). The rules: rule (long), items, confidence, support (as counted); none is implied by a more general one that is as confident."""
     spark = labelled.sparkSession
-    baskets = labelled.where(F.col("bad").isNotNull()).select(items_of(F.col("url")).alias("items"), "bad").where(F.size("items") > 0)
-    baskets = cut(baskets.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")))
-    if baskets.isEmpty():
+    baskets = labelled.where(F.col("bad").isNotNull()).select(F.array_sort(items_of(F.col("url"))).alias("items"), "bad").where(F.size("items") > 0)
+    kinds = cut(baskets.groupBy("items", "bad").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", wide_hash("items", "bad")))
+    total = kinds.agg(F.sum("n")).first()[0] or 0
+    least = max(1, math.ceil(mining.min_support * total))
+    classes = cut(classes_of(kinds, least))
+    size = classes.count()
+    if not size:
         return spark.createDataFrame([], "rule long, items array<string>, confidence double, n long")
-    found = FPGrowth(minSupport=mining.min_support, minConfidence=mining.min_confidence).fit(baskets).freqItemsets
+    reps = F.broadcast(classes.select("rep")) if size <= mining.broadcast_rules else classes.select("rep")
+    kept = kinds.select("kind", "bad", "n", F.explode("items").alias("rep")).join(reps, "rep").groupBy("kind", "bad", "n").agg(F.collect_list("rep").alias("items"))
+    rows = kept.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"), F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select("items")
+    rows = cut(rows)
+    # the share that makes FP-growth count to `least`, which is of all labelled URLs
+    found = FPGrowth(minSupport=(least - 0.5) / rows.count(), minConfidence=mining.min_confidence).fit(rows).freqItemsets
     split = cut(found.select(F.array_sort(F.array_remove("items", BAD)).alias("items"), F.array_contains("items", BAD).alias("bad"), "freq"))
     both = split.where("bad").select("items", F.col("freq").alias("n")).where(F.size("items") > 0)
     rules = both.join(split.where("not bad").select("items", "freq"), "items").select("items", (F.col("n") / F.col("freq")).alias("confidence"), "n").where(F.col("confidence") >= mining.min_confidence)
     rules = cut(rules.withColumn("rule", F.xxhash64("items")))
-    # a rule goes if one with a proper subset of its items is as confident: subsets of at most eleven items are few, and found by key
-    masks = F.transform(F.expr("sequence(1, shiftleft(1, size(items)) - 2)"), lambda m: F.filter(F.col("items"), lambda x, i: F.pmod(F.floor(m / F.pow(F.lit(2), i)), F.lit(2)) == 1))
-    subsets = rules.where(F.size("items") > 1).select("rule", F.col("confidence").alias("c"), F.explode(masks).alias("items"))
-    implied = subsets.join(rules.select("items", "confidence"), "items").where(F.col("confidence") >= F.col("c")).select("rule").distinct()
-    return rules.join(implied, "rule", "left_anti").select("rule", "items", "confidence", "n")
+
+    def general(rules: DataFrame, subsets: Column) -> DataFrame:
+        """Without the rules of which such a subset is as confident."""
+        some = rules.where(F.size("items") > 1).select("rule", F.col("confidence").alias("c"), F.explode(subsets).alias("items"))
+        implied = some.join(rules.select("items", "confidence"), "items").where(F.col("confidence") >= F.col("c")).select("rule").distinct()
+        return cut(rules.join(implied, "rule", "left_anti").select("rule", "items", "confidence", "n"))
+
+    # most rules go by a subset of one item less; the few that are left are held against all their proper subsets, found by key
+    masks = F.transform(F.expr("sequence(1L, shiftleft(1L, size(items)) - 2)"), lambda m: F.filter(F.col("items"), lambda x, i: F.pmod(F.floor(m / F.pow(F.lit(2), i)), F.lit(2)) == 1))
+    rules = general(rules, F.transform("items", lambda x: F.array_remove(F.col("items"), x)))
+    return with_members(general(rules, masks), classes)
 
 
 def match(urls: DataFrame, rules: DataFrame, mining: Mining = Mining()) -> DataFrame:

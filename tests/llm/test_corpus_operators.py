@@ -177,6 +177,37 @@ def test_mined_rules(spark):
     assert sorted((r.page_id, r.verdict) for r in wide) == sorted((r.page_id, r.verdict) for r in got)
 
 
+@pytest.mark.parametrize("where", ["http://www.{}.example.org/x/{n}.html", "http://h.example.org/en/{}/deep/{n}.html", "http://h.example.org/en/{n}.html?a{m}=1&{}=2", "http://h.example.org/en/{n}.html?q={}&a{m}=1"])
+def test_every_token_of_a_url_can_be_a_rule(spark, where):
+    urls = [(where.format("ads-track" if i % 4 == 0 else f"calm{'abcdefg'[i % 7]}", n=i, m="abcdefghijk"[i % 11]), i) for i in range(240)]
+    labelled = spark.createDataFrame([(u, i % 4 == 0) for u, i in urls[:160]], "url string, bad boolean")
+    pages = spark.createDataFrame([(i, u) for u, i in urls], "page_id long, url string")
+    mining = op5_url_rules.Mining(min_support=0.05, min_confidence=0.9)
+    got = op5_url_rules.judge(pages, labelled, rules=(), mining=mining).collect()
+    assert all((r.verdict == "block") == (r.page_id % 4 == 0) and (r.mined is None or "ads-track" in r.mined) for r in got) and len(got) == 240
+    wide = op5_url_rules.judge(pages, labelled, rules=(), mining=op5_url_rules.Mining(min_support=0.05, min_confidence=0.9, broadcast_rules=0)).collect()
+    assert sorted((r.page_id, r.verdict) for r in wide) == sorted((r.page_id, r.verdict) for r in got)
+
+
+def test_rules_of_long_urls_by_brute_force(spark):
+    rng = random.Random(4)
+    tail = "/".join(f"long{c}" for c in "abcdefghijklmnopqrst")  # twenty parts that always go together: one class, not 2 ** 20 item sets
+    urls = [f"http://{rng.choice('ab')}.site.org/" + (f"{tail}/{i}" if i % 3 else f"{rng.choice('xy')}/{i}") for i in range(90)]
+    labels = [(u, "long" in u and u.startswith("http://a")) for u in urls]
+    got = {frozenset(r["items"]): (r.n, r.confidence) for r in op5_url_rules.mine(spark.createDataFrame(labels, "url string, bad boolean"), op5_url_rules.Mining(0.1, 0.6)).collect()}
+    assert {frozenset({"first_label=a", f"part=long{c}"}) for c in "abcdefghijklmnopqrst"} <= set(got)
+    baskets = [(set(r.items_), r.bad) for r in spark.createDataFrame(labels, "url string, bad boolean").select(op5_url_rules.items_of(F.col("url")).alias("items_"), "bad").collect()]
+    counted = lambda s: [sum(s <= b and y for b, y in baskets), sum(s <= b for b, _ in baskets)]
+    items = set().union(*[b for b, _ in baskets])
+    want = {}
+    for size in (1, 2):
+        for s in map(frozenset, itertools.combinations(sorted(items), size)):
+            n, of = counted(s)
+            if n >= 9 and n / of >= 0.6 and not any(t < s and want[t][1] >= n / of for t in want):
+                want[s] = (n, n / of)
+    assert {s: v for s, v in got.items() if len(s) < 3} == want
+
+
 # --- 7
 
 
