@@ -7,8 +7,11 @@ boilerplate lines of a host are at most its lines a page divided by the ratio. I
 they are broadcast as one list a host, and no text is shuffled; else pages meet them by a join on host and line, and then by a
 key made from the whole page.
 
+The query counts every row, as its SQL says. The pipeline's stage runs before near copies go, so there (`copies=False`) all rows of a
+host with equal texts are one page: a large group of exact copies does not make its own lines boilerplate.
+
 Defined results: a null text stays null; a null host is a host of its own; a page that loses every line has an empty text;
-repeated rows are pages of their own when counted and are treated alike; an empty table gives an empty table. All columns are
+repeated rows are pages of their own when counted (with `copies=False` one page) and are treated alike; an empty table gives an empty table. All columns are
 kept, whatever their names.
 """
 
@@ -41,19 +44,23 @@ def line_key(line: Column) -> Column:
     return F.when(line != "", wide_hash(line))
 
 
-def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", limits: Boilerplate = Boilerplate()) -> DataFrame:
-    """host, line (its key), n_pages, host_pages of the lines that go."""
+def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", limits: Boilerplate = Boilerplate(), copies: bool = True) -> DataFrame:
+    """host, line (its key), n_pages, host_pages of the lines that go. copies: whether each copy of a text is a page of its own."""
     rows = pages.select(F.col(f"`{host}`").alias("host"), F.col(f"`{text}`").alias("text"))
+    if not copies:
+        # only hosts, hashes and the keys of lines are shuffled; copies meet in partial sums first
+        keyed = rows.select("host", wide_hash("text").alias("copy"), F.array_distinct(F.array_compact(F.transform(lines_of(F.col("text")), line_key))).alias("keys"))
+        rows = cut(keyed.groupBy("host", "copy").agg(F.first("keys").alias("keys")))
     totals = rows.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    keys = F.array_distinct(F.array_compact(F.transform(lines_of(F.col("text")), line_key)))
+    keys = F.array_distinct(F.array_compact(F.transform(lines_of(F.col("text")), line_key))) if copies else F.col("keys")
     counts = rows.select("host", F.explode(keys).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") >= limits.min_pages)
     # a host's total is one row, yet its lines may be many: they are dealt by host and line, and hosts meet them by a broadcast if Spark sees that they are few
     return counts.join(totals.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).where(F.col("n_pages") > limits.ratio * F.col("host_pages")).select("host", "line", "n_pages", "host_pages")
 
 
-def drop_lines(pages: DataFrame, host: str = "source", text: str = "text", limits: Boilerplate = Boilerplate(), dropped: str | None = None) -> DataFrame:
+def drop_lines(pages: DataFrame, host: str = "source", text: str = "text", limits: Boilerplate = Boilerplate(), dropped: str | None = None, copies: bool = True) -> DataFrame:
     """pages without their boilerplate lines. dropped: a name for the number of lines dropped."""
-    common = cut(boilerplate(pages, host, text, limits).select("host", "line"))
+    common = cut(boilerplate(pages, host, text, limits, copies).select("host", "line"))
     whole = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"))
     body, at = F.col("page").getField(text), F.col("page").getField(host)
     if common.count() <= limits.broadcast_lines:
@@ -76,8 +83,8 @@ def op10_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """documents without their boilerplate lines; n_chars follows the text."""
-    return drop_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """documents without their boilerplate lines, counted over different texts; n_chars follows the text."""
+    return drop_lines(docs, copies=False).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def sql(documents: str, columns: str, limits: Boilerplate = Boilerplate()) -> str:

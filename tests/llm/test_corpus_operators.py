@@ -299,3 +299,19 @@ def test_lines_by_brute_force(spark, most):
     assert [r.text for r in got] == want and any(r.n for r in got)
     assert all(r.n == (0 if t is None else len(t.split("\n")) - (len(w.split("\n")) if w or t == "" else 0)) or w == "" for r, (_, t), w in zip(got, rows, want, strict=True))
     assert op10_line_frequency.drop_lines(frame.limit(0), limits=limits).columns == frame.columns
+
+
+def test_a_large_group_of_copies_reaches_packing(spark):
+    body = "\n".join(f"sentence {i} of the copied text" for i in range(8))
+    texts = [body] * 40 + [f"own text {i}\nmenu\nmore of {i}" for i in range(100)] + [None, None]
+    frame = spark.createDataFrame([(i, t, "en", "site", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    lines = op10_line_frequency.stage(spark, frame, "")
+    got = {r.doc_id: r for r in lines.collect()}
+    assert len(got) == len(texts) and all(got[i].text == body and got[i].n_chars == len(body) for i in range(40))
+    assert all(got[40 + i].text == f"own text {i}\nmore of {i}" for i in range(100)) and got[140].text is None
+    pieces = op7_retrieval_packing.stage(spark, op2_order_minhash.stage(spark, lines, ""), "").collect()
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {r.doc_tokens for r in pieces if r.doc_id == 0} == {len(library.encode(body, add_special_tokens=False).ids) + 1}
+    assert not any(0 < r.doc_id < 40 for r in pieces)
+    host = op10_line_frequency.drop_lines(frame, copies=False, limits=op10_line_frequency.Boilerplate(broadcast_lines=0))
+    assert {r.doc_id: r.text for r in host.collect()} == {i: r.text for i, r in got.items()}
