@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -24,31 +23,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. A local one is made only where the session names none, as in tests."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(named)
-        return named
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-checkpoint-"))
-    return context.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut by a reliable checkpoint, so that a lost executor costs no recomputation of what came before."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The folder that all executors share: the one that `spark.checkpoint.dir` names, or that the session's context was given."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:
-    """As cut(), as compressed Parquet in the shared folder: for wide rows."""
+    """The same rows, written as Parquet to the shared folder and read again: their lineage is cut, so that a lost executor costs no recomputation of what came before.
+
+    What is written stays until the folder is cleaned, by who owns it: results are lazy, so no query knows when its last reader is done.
+    """
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """stored() for narrow rows on the way. Unlike a checkpoint, a table read again carries no constraints of the plan that made it, which grow with each round of a loop."""
+    return stored(df, "cut")
+
+
 def text_of(column: str | Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
