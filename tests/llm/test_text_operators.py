@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -158,30 +160,91 @@ PAGE = """<html><head><title>x</title><script>var a = "<p>no</p>";</script></hea
 <aside>Side</aside><form><p>Your mail</p></form><footer>foot</footer></body></html>"""
 
 
+def text_of(page):
+    return op9_mincut.extract(page)[0]
+
+
 def test_main_text():
-    assert op9_mincut.extract(PAGE) == "Title & more\n\nOne two three\n\nFour five é link.\n\nItem one\n\nItem two"
+    assert text_of(PAGE) == "Title & more\n\nOne two three\n\nFour five é link.\n\nItem one\n\nItem two"
     for broken in ("", "<", "<<>>", "<div", "<script>never closed <p>text", "<!-- open", "<a " * 50_000, "<div>" * 5000 + "x", "<p class='unclosed" + "x" * 10_000):
-        op9_mincut.extract(broken)
+        text_of(broken)
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<body class="single post has-sidebar"><article><p>Kept.</p></article><div class="sidebar-left"><p>Gone, however long it is, and it is as long as a text can be.</p></div>', "Kept."),
+        ('<body class="post share-enabled"><article><header class="article-header"><h1 class="article-header">Head</h1></header><p>Kept.', "Head\n\nKept."),
+        ("<article><p>A <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b <svg><text>c</text></svg><noscript>d</noscript></article>", "A x=1 b c\n\nd"),
+        ('<main><p>Kept.<div class="ad-container"><p>An advert that reads like a text, and is as long as one, with a full stop.</p></div><p>Also.</main>', "Kept.\n\nAlso."),
+        ('<article><p>Kept.</p><section class="comments"><article><p>A reader says so, at length, in whole sentences, as readers do.</p></article></section></article>', "Kept."),
+        ("<form><article><p>Kept.</p></article><p>Your name, please, in the field below, which we will not give away.</p></form>", "Kept."),
+        ('<article><ul><li><a href="/x">Only a link</a></li><li><a href="/y">Another</a></li></ul><p>Les.</p></article>', "Only a link\n\nAnother\n\nLes."),
+        ('<div><div><a href="/">Home</a></div></div><div><h2>Head</h2><p>%s</p><p>%s</p></div>' % ("A whole sentence of the text. " * 9, "Another one. " * 15), "Head\n\n" + ("A whole sentence of the text. " * 9).strip() + "\n\n" + ("Another one. " * 15).strip()),
+    ],
+)
+def test_main_text_cases(page, want):
+    assert text_of(page) == want
+
+
+def page_of(rng):
+    tags = ["<div>", "<div class='ad'>", "<div class='content'>", "<article>", "<nav>", "<p>", "<p>", "<h2>", "<li><a href=x>", "</div>", "</article>", "</nav>", "<section class='sidebar-content'>", "</section>"]
+    return "".join(rng.choice(tags) + " ".join(["word"] * rng.choice([0, 1, 4, 30])) + rng.choice(["", "."]) for _ in range(12))
 
 
 def test_cut_is_minimal():
-    rng = random.Random(4)
+    rng, costs = random.Random(4), op9_mincut.Costs()
     for _ in range(150):
-        n = rng.randint(1, 7)
-        found = [op9_mincut.Block("x", rng.randint(0, 2), rng.uniform(-2, 2)) for _ in range(n)]
-        ties, last = [], {}
-        for i, b in enumerate(found):
-            ties += [(i - 1, i, 0.4)] * (i > 0) + ([(last[b.parent], i, 0.8)] if b.parent in last else [])
-            last[b.parent] = i
-        price = lambda keep: sum(max(0, b.cost) * (not k) + max(0, -b.cost) * k for b, k in zip(found, keep, strict=True)) + sum(w for i, j, w in ties if keep[i] != keep[j])  # noqa: E731, B023
-        best = min(price([m >> i & 1 for i in range(n)]) for m in range(1 << n))
-        assert price(op9_mincut.content(found)) == pytest.approx(best)
+        found, holders = op9_mincut.blocks(page_of(rng))
+        n, edges = op9_mincut.graph(found, holders, costs)
+        if n > 14:
+            continue
+        price = lambda side: sum((there if side[a] and not side[b] else back if side[b] and not side[a] else 0) for a, b, there, back in edges)  # noqa: E731, B023
+        least = min(price([True, False, *(bool(m >> i & 1) for i in range(n - 2))]) for m in range(1 << n - 2))
+        assert price(op9_mincut.max_flow(n, edges)) == pytest.approx(least)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+def test_edges_change_labels_of_real_pages():
+    import pyarrow.parquet as pq
+
+    alone = op9_mincut.Costs(tied=0.0, loose=0.0, neighbour=0.0)
+    changed = flipped = total = 0
+    for page in pq.read_table("/root/testdata/sf0.001/pages.parquet")["html"].to_pylist():
+        found, holders = op9_mincut.blocks(page or "")
+        with_edges, without = op9_mincut.content(found, holders), op9_mincut.content(found, holders, alone)
+        changed += sum(a != b for a, b in zip(with_edges, without, strict=True))
+        flipped += op9_mincut.extract(page or "")[1]
+        total += len(found)
+    assert changed == flipped > 0.02 * total
+
+
+@pytest.mark.parametrize("page", ["<b>" * 300_000 + "<p>x" * 300_000, "<div>" * 400_000 + "</section>" * 400_000, "<div>x" * 300_000, "<div class=ad>x" * 150_000, "<p>A text that goes on.</p>" * 100_000 + "<ul>" + "<li><a>z</a>" * 50_000])
+def test_long_pages_take_time_in_proportion(page):
+    took = []
+    for part in (page[: len(page) // 4], page):
+        began = time.perf_counter()
+        text_of(part)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 10 * took[0] + 2 and took[1] < 60
+
+
+def test_fit_keeps_what_no_page_contradicts(spark):
+    empty = spark.createDataFrame([], "html string")
+    assert op9_mincut.fitted(empty) == op9_mincut.Costs()
+    pages = spark.createDataFrame([(PAGE,), (None,)] * 20, "html string")
+    weights = dict(zip(op9_mincut.FEATURES, op9_mincut.fitted(pages).text, strict=True))
+    assert weights["links"] < 0 < weights["paragraph"]
 
 
 def test_extraction_query(spark, tmp_path):
-    spark.createDataFrame([(1, "u", PAGE), (2, "u", None), (2, "u", ""), (3, None, PAGE)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    rows = [(1, "u", PAGE, "x"), (2, "u", None, "x"), (2, "u", "", "x"), (3, None, PAGE, "x"), (3, None, PAGE, "x")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    frame.write.parquet(str(tmp_path / "pages.parquet"))
     got = op9_mincut.op9_mincut_extraction(spark, str(tmp_path)).collect()
-    assert sorted((r.page_id, r.n_chars) for r in got) == [(1, n := len(op9_mincut.extract(PAGE))), (2, 0), (2, 0), (3, n)] and all(len(r.text) == r.n_chars for r in got)
+    assert sorted((r.page_id, r.n_chars) for r in got) == [(1, n := len(text_of(PAGE))), (2, 0), (2, 0), (3, n), (3, n)] and all(len(r.text) == r.n_chars for r in got)
+    frame.limit(0).write.parquet(str(tmp_path / "none" / "pages.parquet"))
+    assert op9_mincut.op9_mincut_extraction(spark, str(tmp_path / "none")).count() == 0
 
 
 # --- 3
