@@ -1,27 +1,34 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A text is cut into clauses. A lexical transducer maps each word to a symbol: an insult (with a weight, by whole words and by
-stems), a threat, a target, a negation, a verb or mark of reported speech, or nothing. The grammar is composed from five small
-machines that run over the symbols of a clause: negation is open for a few words, reported speech to the clause's end, a target
-near an insult or a threat binds to it. An insult so leaves the composition as plain, aimed, negated or reported, a threat as
-aimed or loose; a document's score is a logistic function of the weights that its clauses emit. Clauses without an insult or a
-threat emit nothing.
-
-The insult lexicon and the weights of the emissions are learned from labelled rows; the other lexicons are fixed and given as
-parameters. Learning uses a sample of labelled rows bounded by `Fit.max_rows`, drawn by a hash of the document id; candidates
-for the lexicon are counted inside Spark, and at most `Fit.max_patterns` of them, those whose association with the label is
-beyond chance, come to the driver and are broadcast. Scoring reads every text whole.
+A text is cut into clauses. A lexical transducer maps each word to a symbol: an insult (with a strength, by whole words and by
+stems), a threat, a target, a negation, a verb or mark of reported speech, or another word. Three transducers over these symbols are
+composed into one: negation marks the insults and threats of the few words after it, reported speech those up to the clause's
+end, and a target binds those near it, before or after. The last is not deterministic: before it has seen the target it may take an insult as
+aimed, but is then accepted only if a target follows in time. Arcs have weights; of a clause's accepted paths the best one
+counts. An insult so leaves the composition as plain, aimed, negated or reported, a threat as aimed or loose. Clauses without an
+insult or a threat emit nothing.
+
+What is scored are matched clauses: a document's score is a logistic function of the logarithms of what its clauses have emitted by kind, of how many
+more clauses than one match, and of their share of all clauses. A single plain word in a text of some length does not
+reach one half; a second clause, a target, or a very short text does.
+
+The insult lexicon and the weights of these features are learned from labelled rows; the other lexicons are fixed and given as
+parameters. Learning uses a sample of labelled rows bounded by `Fit.max_rows`, drawn by a hash of the document id. Patterns
+are counted inside Spark; those whose association with the label is beyond chance come to the driver and are broadcast: no more than the bounded sample
+has. Scoring reads every text whole.
 
 Defined results: a null text is an empty one; texts without any match have the score of the bias; a null document id is not held
 out; rows with equal texts have equal scores; without labelled rows the fixed lexicons alone decide; repeated label rows for one
-document count once (toxic if any says so).
+document count once (toxic if any says so); an empty table gives an empty result; a score column that the table already has gets the name
+with an underscore. Very long texts are scored whole, clause by clause.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,23 +47,133 @@ TARGETS = frozenset("you your yours u he she they him her them du dich dir ihr e
 NEGATIONS = frozenset("not never no isn aren wasn weren don doesn didn nobody nicht nie kein keine keinen niemals jamais aucun aucune nunca jamás tampoco".split())
 REPORTS = frozenset("said says saying called calls claimed claims wrote quoted told reported sagte sagt nannte schrieb behauptete disait appelé écrit dijo dice llamó escribió".split()) | frozenset('"«„“')
 EMISSIONS = ("plain", "aimed", "negated", "reported", "threat", "loose_threat")
+#: Symbols of the lexical transducer; other words are OTHER.
+INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "insult", "threat", "target", "negation", "report", "other"
+SYMBOLS = (INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER)
 
 
 @dataclass(frozen=True)
 class Fit:
-    """max_rows: labelled rows learned from. max_patterns: entries of the insult lexicon. min_share: of the texts with a pattern, those that are toxic. margin: natural logarithm by which an association must beat chance over all candidates. prior: weights of the bias and the emissions before any row is seen, and how firmly."""
+    """max_rows: labelled rows learned from. min_share: of the texts with a pattern, those that are toxic. margin: natural logarithm by which an association must beat chance over all candidates.
+    prior: weights of the bias, the emissions, further clauses and the share of clauses before any row is seen, and how firmly."""
 
     max_rows: int = 20_000
-    max_patterns: int = 5_000
     min_share: float = 0.9
     margin: float = 3.0
-    prior: tuple[float, ...] = (-3.5, 6.0, 7.0, 3.0, 3.0, 5.0, 1.0)
+    prior: tuple[float, ...] = (-4.5, 3.0, 6.0, 1.0, 1.0, 5.0, 1.0, 4.0, 3.0)
     firmness: float = 1.0
 
 
+@dataclass(frozen=True)
+class Machine:
+    """A weighted transducer: arcs from (state, symbol read) to (symbol written, weight, next state)."""
+
+    start: Hashable
+    finals: frozenset
+    arcs: dict[tuple[Hashable, str], tuple[tuple[str, float, Hashable], ...]]
+
+    def paths(self, symbols: list[str]) -> Iterator[tuple[float, list[str]]]:
+        """Every accepted path, one by one."""
+
+        def on(state: Hashable, at: int, weight: float, written: list[str]) -> Iterator[tuple[float, list[str]]]:
+            if at == len(symbols):
+                if state in self.finals:
+                    yield weight, written
+                return
+            for out, w, then in self.arcs.get((state, symbols[at]), ()):
+                yield from on(then, at + 1, weight + w, [*written, out])
+
+        yield from on(self.start, 0, 0.0, [])
+
+    def best(self, symbols: list[str]) -> list[str] | None:
+        """What the accepted path of the largest weight writes; the first in the order of arcs if several have it."""
+        reached: dict[Hashable, tuple[float, tuple | None]] = {self.start: (0.0, None)}
+        for symbol in symbols:
+            then: dict[Hashable, tuple[float, tuple | None]] = {}
+            for state, (weight, written) in reached.items():
+                for out, w, q in self.arcs.get((state, symbol), ()):
+                    if q not in then or weight + w > then[q][0]:
+                        then[q] = (weight + w, (written, out))
+            reached = then
+        ends = [x for q, x in reached.items() if q in self.finals]
+        if not ends:
+            return None
+        written, out = max(ends, key=lambda x: x[0])[1], []
+        while written is not None:
+            written, symbol = written
+            out.append(symbol)
+        return out[::-1]
+
+
+def composed(a: Machine, b: Machine) -> Machine:
+    """The transducer that writes what b writes on reading what a writes; weights add up."""
+    start, arcs = (a.start, b.start), {}
+    todo, seen = [start], {start}
+    leaving: dict[Hashable, list] = {}
+    for (q, symbol), found in a.arcs.items():
+        leaving.setdefault(q, []).append((symbol, found))
+    while todo:
+        p, q = todo.pop()
+        for symbol, found in leaving.get(p, ()):
+            both = [(out, wa + wb, (pa, qb)) for mid, wa, pa in found for out, wb, qb in b.arcs.get((q, mid), ())]
+            if both:
+                arcs[(p, q), symbol] = tuple(both)
+            for _, _, state in both:
+                if state not in seen:
+                    seen.add(state)
+                    todo.append(state)
+    return Machine(start, frozenset((p, q) for p, q in seen if p in a.finals and q in b.finals), arcs)
+
+
+def negation_machine(reach: int) -> Machine:
+    """States: words for which a negation stays open. Writes `negated` for an insult or a threat under one."""
+    arcs = {}
+    for left in range(reach + 1):
+        for x in SYMBOLS:
+            then = reach if x == NEGATION else max(0, left - 1)
+            arcs[left, x] = (("negated" if left and x in (INSULT, THREAT) else x, 0.0, then),)
+    return Machine(0, frozenset(range(reach + 1)), arcs)
+
+
+def report_machine() -> Machine:
+    """Whether speech is reported, up to the end of the clause. Writes `reported` for an insult or a threat in it."""
+    arcs = {(0, x): ((x, 0.0, int(x == REPORT)),) for x in (*SYMBOLS, "negated")}
+    arcs |= {(1, x): (("reported" if x in (INSULT, THREAT, "negated") else x, 0.0, 1),) for x in (*SYMBOLS, "negated")}
+    return Machine(0, frozenset((0, 1)), arcs)
+
+
+def target_machine(reach: int) -> Machine:
+    """States: (words for which a target before binds, 0), or (0, words within which a target must follow). Writes EMISSIONS, or OTHER; a path on which an insult or a threat is aimed weighs more."""
+    kinds = {INSULT: ("plain", "aimed"), THREAT: ("loose_threat", "threat")}
+    arcs = {}
+    for near in range(reach + 1):
+        on = (max(0, near - 1), 0)
+        for x in (*SYMBOLS, "negated", "reported"):
+            if x == TARGET:
+                arcs[(near, 0), x] = ((OTHER, 0.0, (reach, 0)),)
+            elif x not in kinds:
+                arcs[(near, 0), x] = ((x if x in EMISSIONS else OTHER, 0.0, on),)
+            elif near:
+                arcs[(near, 0), x] = ((kinds[x][1], 1.0, on),)
+            else:
+                arcs[(near, 0), x] = ((kinds[x][0], 0.0, on), (kinds[x][1], 1.0, (0, reach)))
+    for wait in range(1, reach + 1):
+        for x in (*SYMBOLS, "negated", "reported"):
+            if x == TARGET:
+                arcs[(0, wait), x] = ((OTHER, 0.0, (reach, 0)),)
+            elif wait > 1:
+                arcs[(0, wait), x] = ((kinds[x][1], 1.0, (0, wait - 1)),) if x in kinds else ((x if x in EMISSIONS else OTHER, 0.0, (0, wait - 1)),)
+    return Machine((0, 0), frozenset((near, 0) for near in range(reach + 1)), arcs)
+
+
+@functools.lru_cache(8)
+def clause_machine(negation_reach: int, target_reach: int) -> Machine:
+    return composed(composed(negation_machine(negation_reach), report_machine()), target_machine(target_reach))
+
+
 @dataclass(frozen=True)
 class Grammar:
-    insults: dict[str, float] = field(default_factory=dict)  # word, or stem and "*", to weight: the logarithm of its odds, divided by five
+    insults: dict[str, float] = field(default_factory=dict)  # word, or stem and "*", to strength: the logarithm of its odds, divided by five
     weights: tuple[float, ...] = Fit.prior
     negation_reach: int = 3  # words
     target_reach: int = 4
@@ -64,56 +181,53 @@ class Grammar:
     def starts(self) -> frozenset[str]:
         return frozenset(k.rstrip("*")[: STEMS[0]] for k in self.insults) | frozenset(w[: STEMS[0]] for w in THREATS)
 
-    def insult(self, word: str) -> float:
-        """What the lexical transducer emits: the best of the whole word and its stems."""
+    def symbol(self, word: str) -> tuple[str, float]:
+        """The lexical transducer: what a word is, and how strongly; an insult by the best of the whole word and its stems."""
+        if word in NEGATIONS:
+            return NEGATION, 0.0
+        if word in REPORTS:
+            return REPORT, 0.0
+        if word in TARGETS:
+            return TARGET, 0.0
+        if word in THREATS:
+            return THREAT, 1.0
         get = self.insults.get
-        return max(get(word, 0.0), *(get(word[:n] + "*", 0.0) for n in STEMS if len(word) >= n), 0.0)
-
-    def clause(self, words: list[str], emitted: list[float]) -> None:
-        """Runs the composed machines over one clause; adds to what its document has emitted."""
-        negated = reported = 0  # words for which negation stays open; whether speech is reported
-        aimed_at = -self.target_reach - 1
-        waiting: list[tuple[int, int, float]] = []  # insults and threats that a target may still bind: place, kind, weight
-        for i, word in enumerate(words):
-            negated -= negated > 0
-            if word in NEGATIONS:
-                negated = self.negation_reach + 1
-            elif word in REPORTS:
-                reported = 1
-            elif word in TARGETS:
-                aimed_at = i
-                for place, kind, weight in waiting:
-                    if i - place <= self.target_reach:
-                        emitted[kind] -= weight
-                        emitted[1 if kind == 0 else 4] += weight
-                waiting = []
-            else:
-                threat, weight = word in THREATS, self.insult(word)
-                if not threat and not weight:
-                    continue
-                near = i - aimed_at <= self.target_reach
-                if threat:
-                    kind, weight = (3 if reported else 2 if negated else 4 if near else 5), 1.0
-                else:
-                    kind = 3 if reported else 2 if negated else 1 if near else 0
-                emitted[kind] += weight
-                if kind in (0, 5):
-                    waiting.append((i, kind, weight))
-
-    def emissions(self, text: str) -> tuple[float, ...]:
-        """Weights by kind, each at most two, so that a long text is not toxic for its length alone."""
-        emitted, starts = [0.0] * len(EMISSIONS), self._starts
+        strength = max(get(word, 0.0), *(get(word[:n] + "*", 0.0) for n in STEMS if len(word) >= n), 0.0)
+        return (INSULT, strength) if strength else (OTHER, 0.0)
+
+    def clause(self, words: list[str]) -> list[tuple[str, float]]:
+        """What the best path through the composed machines emits for one clause: kinds and strengths."""
+        read = [self.symbol(w) for w in words]
+        if not any(x in (INSULT, THREAT) for x, _ in read):
+            return []
+        written = clause_machine(self.negation_reach, self.target_reach).best([x for x, _ in read])
+        return [(kind, strength) for kind, (_, strength) in zip(written, read, strict=True) if kind in EMISSIONS]
+
+    def matches(self, text: str) -> tuple[dict[str, float], int, int]:
+        """Strengths by kind, the clauses that match other than by negated or reported words, and all clauses."""
+        emitted, starts, matched, clauses = dict.fromkeys(EMISSIONS, 0.0), self._starts, 0, 0
         for clause in CLAUSE.split(text.lower()):
             words = TOKEN.findall(clause)
+            clauses += bool(words)
             if any(w[: STEMS[0]] in starts for w in words):
-                self.clause(words, emitted)
-        return tuple(min(2.0, max(0.0, round(x, 6))) for x in emitted)
+                found = self.clause(words)
+                for kind, strength in found:
+                    emitted[kind] += strength
+                matched += any(kind not in ("negated", "reported") for kind, _ in found)
+        return emitted, matched, clauses
+
+    def emissions(self, text: str) -> tuple[float, ...]:
+        return tuple(round(x, 6) for x in self.matches(text)[0].values())
+
+    def features(self, text: str) -> tuple[float, ...]:
+        emitted, matched, clauses = self.matches(text)
+        return (*(round(math.log1p(x), 6) for x in emitted.values()), round(math.log1p(max(0, matched - 1)), 6), round(matched / max(1, clauses), 6))
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "_starts", self.starts())
 
-    def score(self, emitted: tuple[float, ...]) -> float:
-        z = self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], emitted, strict=True))
+    def score(self, features: tuple[float, ...]) -> float:
+        z = self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], features, strict=True))
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
 
 
@@ -148,8 +262,8 @@ def lexicon(rows: DataFrame, fit: Fit) -> dict[str, float]:
     beyond = F.col("n") * (share * F.log(share / base) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0))
     found = counts.where(share >= fit.min_share).withColumn("beyond", beyond).where(F.col("beyond") > math.log(max(1, counts.count())) + fit.margin)
     odds = F.log((F.col("k") + 0.5) / (F.col("n") - F.col("k") + 0.5))
-    best = found.orderBy(F.desc("beyond"), "pattern").limit(fit.max_patterns).select("pattern", odds.alias("odds")).collect()
-    return {r["pattern"]: round(float(r["odds"]) / 5, 6) for r in best}
+    # each takes several rows of the bounded sample, so there are no more than that has words
+    return {r["pattern"]: round(float(r["odds"]) / 5, 6) for r in found.select("pattern", odds.alias("odds")).collect()}
 
 
 def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Grammar:
@@ -182,28 +296,32 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Grammar:
 
 
 def emitting(grammar: Grammar):
-    """A function of a text column: what its clauses emit, as an array in the order of EMISSIONS."""
+    """A function of a text column: its features, as an array."""
 
     @F.pandas_udf("array<double>")
     def emitted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([list(grammar.emissions(x)) for x in texts], dtype=object)
+            yield pd.Series([list(grammar.features(x)) for x in texts], dtype=object)
 
     return emitted
 
 
 def scored(docs: DataFrame, grammar: Grammar, text: str = "text", score: str = "score", emitted: str | None = None) -> DataFrame:
-    """docs with the score of each whole text, and what was emitted if it gets a name."""
+    """docs with the score of each whole text, and what was emitted if it gets a name. A name that docs already has gets an underscore."""
     kind = fields("score double, emitted string")
 
     @F.pandas_udf(kind)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            rows = [(grammar.score(e), ", ".join(f"{k} {v:g}" for k, v in zip(EMISSIONS, e, strict=True) if v)) for e in map(grammar.emissions, texts)]
+            rows = []
+            for x in texts:
+                features = grammar.features(x)
+                rows.append((grammar.score(features), ", ".join(f"{k} {math.expm1(v):g}" for k, v in zip(EMISSIONS, features, strict=False) if v)))
             yield pd.DataFrame(rows, columns=["score", "emitted"])
 
+    free = lambda name: name if name not in docs.columns else free(f"{name}_")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), judge(text_of(F.col(f"`{text}`"))).alias("s"))
-    return whole.select("doc.*", F.col("s.score").alias(score), *([F.col("s.emitted").alias(emitted)] if emitted else []))
+    return whole.select("doc.*", F.col("s.score").alias(free(score)), *([F.col("s.emitted").alias(free(emitted))] if emitted else []))
 
 
 def op3_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,4 +333,5 @@ def op3_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic; the grammar is learned from the labels of the whole table."""
     grammar = learn(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return scored(docs, grammar, score="toxicity_score_").where(F.col("toxicity_score_") < 0.5).select(*docs.columns)
+    rows = scored(docs, grammar)
+    return rows.where(F.col(f"`{rows.columns[-1]}`") < 0.5).select(*[f"`{c}`" for c in docs.columns])

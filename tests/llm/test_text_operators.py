@@ -260,7 +260,37 @@ def test_grammar_composition():
     assert kinds("not here. idiot there") == {"plain": 1.0}  # negation ends with its clause
     assert kinds("I will kill you") == {"threat": 1.0} and kinds("they kill time") == {"threat": 1.0} and kinds("to kill time") == {"loose_threat": 1.0}
     assert kinds("scumble") == {"plain": 1.0} and kinds("idiots") == {} and kinds("") == {}
-    assert g.score(g.emissions("you idiot")) > g.score(g.emissions("an idiot")) > g.score(g.emissions("not an idiot")) > g.score(g.emissions(""))
+    score = lambda t: g.score(g.features(t))
+    assert score("you idiot") > score("an idiot") > score("not an idiot") > score("")
+    filler = "A sentence of a text of some length. " * 10
+    assert score(f"{filler} An idiot there. {filler}") < 0.5 < score(f"{filler} An idiot there. {filler} A moron, an idiot. {filler}") < score(f"{filler} You idiot. {filler} You moron.")
+
+
+def test_best_path_is_that_of_all_paths():
+    machine, rng = op3_toxicity.clause_machine(3, 4), random.Random(9)
+    for _ in range(400):
+        symbols = rng.choices(op3_toxicity.SYMBOLS, weights=(4, 2, 2, 1, 1, 6), k=rng.randint(0, 11))
+        every = sorted(machine.paths(symbols), key=lambda x: -x[0])
+        assert every and len(machine.best(symbols)) == len(symbols)
+        assert machine.best(symbols) in [out for weight, out in every if weight == every[0][0]]
+
+
+def test_composition_is_one_machine_after_the_other():
+    rng = random.Random(3)
+    one, two, three = op3_toxicity.negation_machine(2), op3_toxicity.report_machine(), op3_toxicity.target_machine(2)
+    whole = op3_toxicity.composed(op3_toxicity.composed(one, two), three)
+    for _ in range(200):
+        symbols = rng.choices(op3_toxicity.SYMBOLS, k=rng.randint(0, 7))
+        apart = [(w1 + w2 + w3, c) for w1, a in one.paths(symbols) for w2, b in two.paths(a) for w3, c in three.paths(b)]
+        assert sorted(whole.paths(symbols)) == sorted(apart)
+
+
+def test_toxicity_of_no_rows_and_of_clashing_names(spark):
+    frame = spark.createDataFrame([(1, "I will kill you", 7, "x")], "doc_id long, text string, score int, emitted string")
+    grammar = op3_toxicity.Grammar()
+    got = op3_toxicity.scored(frame, grammar, emitted="emitted")
+    assert got.columns == [*frame.columns, "score_", "emitted_"] and got.first().score == 7 and got.first().score_ > 0.5
+    assert op3_toxicity.scored(frame.limit(0), grammar).count() == 0
 
 
 def test_toxicity_is_learned_and_held_out(spark):
@@ -286,6 +316,7 @@ def test_toxicity_is_learned_and_held_out(spark):
 def test_toxicity_without_labels(spark):
     d = spark.createDataFrame([(1, "I will kill you"), (2, "good day")], "doc_id long, text string")
     grammar = op3_toxicity.learn(d, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert op3_toxicity.learn(d.limit(0), spark.createDataFrame([], "doc_id long, toxic int")) == grammar
     assert [r.score >= 0.5 for r in op3_toxicity.scored(d, grammar).orderBy("doc_id").collect()] == [True, False]
 
 
