@@ -1,15 +1,20 @@
 """URL filtering: given host and path rules first, then association rules that FP-growth mines from labelled URLs.
 
-A URL becomes a set of items: scheme, top domain, domain, every host label, the first label, depth, every path part, the first and
-the last one, extension, every query key, every key with its value, all keys joined, presence of a fragment; digits of parts and
-values are masked. Two exact steps keep the transactions small however long URLs are. An item that too few bad URLs have is in no
-rule and goes. Items that the same labelled URLs have form a class, of which one item stands for all: a rule with two of a class is
-implied by the one without the second, and a rule that is found holds for each item of its classes in turn. Transactions of labelled
-URLs carry one more item if the URL is bad. FP-growth's item sets that contain it give rules, pruned by support and confidence and by
-any more general rule that is as confident. They match by an inverted index from item to rule: a rule applies if all its items are found.
+A URL becomes a set of items: scheme, top domain, domain, every host label, the first label, how many there are, depth, every path part, the first and
+the last one, extension, every query key, every key with its value, all keys joined, presence of a fragment, and every token of a
+label, part or value that is made of several; digits of parts and values are masked. Two exact steps keep the transactions small however long
+URLs are. An item that too few bad URLs have is in no rule and goes. Items that the same labelled URLs have form a class, of which
+one item stands for all: a rule with two of a class is implied by the one without the second, and a rule that is found holds for
+each item of its classes in turn. Transactions of labelled URLs carry one more item if the URL is bad. FP-growth's item sets that
+contain it give rules, pruned by support (a share and a count), confidence, lift over the base rate, a bound on chance, and by any more general rule
+that is as confident. Before they are used, rules are mined on four fifths of the labelled URLs and judged on the others: if what they
+block there is not bad more often than the rest, the labels say nothing about URLs and no mined rule is used. Rules match by
+an inverted index from item to rule: a rule applies if all its items are found.
 
 Only DataFrame operations and Spark's own FP-growth are used. Defined results: a null URL, or one without `://`, has an empty
-host and path and no items, and is allowed; repeated URLs are judged alike; with no labelled URLs there is no mined rule.
+host and path and no items, and is allowed; repeated URLs are judged alike; of rules as confident that apply, the one that is last by its items is named; very long URLs
+are read whole; an empty table of pages gives an empty result; with no labelled URLs there is no mined rule; a column that pages
+already has gets the name with underscores.
 """
 
 from __future__ import annotations
@@ -31,11 +36,17 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 
 @dataclass(frozen=True)
 class Mining:
-    """min_support: share of the labelled URLs that an item set must occur in. broadcast_rules: index rows up to which the index is broadcast; a larger one is joined by a shuffle."""
+    """min_support, min_count: share and number of the labelled URLs that are bad and have an item set. min_lift: confidence by base rate. margin: natural logarithm by which a rule must beat chance over all that are counted; None: not asked for.
+    held_out: one labelled URL in so many is kept to judge the rules; 0: none. broadcast_rules: index rows, and matched item sets, up to which they are broadcast; more are joined by a shuffle. salts: parts that a frequent item set is split into there."""
 
     min_support: float = 0.002
     min_confidence: float = 0.5
+    min_count: int = 10
+    min_lift: float = 1.2
+    margin: float | None = 3.0
+    held_out: int = 5
     broadcast_rules: int = 100_000
+    salts: int = 16
 
 
 def host_of(url: Column) -> Column:
@@ -64,12 +75,15 @@ def items_of(url: Column) -> Column:
     found = F.array(
         item("scheme", F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))), item("top", F.try_element_at(labels, F.lit(-1))),
         item("domain", F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), ".")), item("first_label", F.try_element_at(labels, F.lit(1))),
-        item("labels", F.least(F.size(labels), F.lit(9)).cast("string")), item("depth", F.least(F.size(parts), F.lit(9)).cast("string")),
+        item("labels", F.size(labels).cast("string")), item("depth", F.size(parts).cast("string")),
         item("first_part", mask(F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit("")))), item("last_part", mask(last)), item("extension", F.lower(F.regexp_extract(last, r"\.([A-Za-z0-9]{1,8})$", 1))),
         item("query", F.array_join(keys, "&")), F.when(url.contains("#"), F.lit("fragment")),
     )
     below = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 1, F.lit(0)))
-    found = F.concat(found, each("host_label", below), each("part", F.transform(parts, mask)), each("key", keys), each("pair", F.transform(pairs, mask)))
+    values = F.transform(pairs, lambda x: F.regexp_extract(x, r"^[^=]*=(.*)$", 1))
+    # what several are made of; one alone is an item already
+    tokens = F.flatten(F.transform(F.concat(below, parts, values), lambda x: F.filter(F.split(mask(x), r"[^\p{L}\p{N}]+"), lambda t: (t != "") & (t != mask(x)))))
+    found = F.concat(found, each("host_label", below), each("part", F.transform(parts, mask)), each("key", keys), each("pair", F.transform(pairs, mask)), each("bit", tokens))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.array_compact(found)))
 
 
@@ -93,8 +107,8 @@ def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
     spark = labelled.sparkSession
     baskets = labelled.where(F.col("bad").isNotNull()).select(F.array_sort(items_of(F.col("url"))).alias("items"), "bad").where(F.size("items") > 0)
     kinds = cut(baskets.groupBy("items", "bad").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", wide_hash("items", "bad")))
-    total = kinds.agg(F.sum("n")).first()[0] or 0
-    least = max(1, math.ceil(mining.min_support * total))
+    total, bad = (x or 0 for x in kinds.agg(F.sum("n"), F.sum(F.when(F.col("bad"), F.col("n")))).first())
+    least = max(1, mining.min_count, math.ceil(mining.min_support * total))
     classes = cut(classes_of(kinds, least))
     size = classes.count()
     if not size:
@@ -107,7 +121,15 @@ def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
     found = FPGrowth(minSupport=(least - 0.5) / rows.count(), minConfidence=mining.min_confidence).fit(rows).freqItemsets
     split = cut(found.select(F.array_sort(F.array_remove("items", BAD)).alias("items"), F.array_contains("items", BAD).alias("bad"), "freq"))
     both = split.where("bad").select("items", F.col("freq").alias("n")).where(F.size("items") > 0)
-    rules = both.join(split.where("not bad").select("items", "freq"), "items").select("items", (F.col("n") / F.col("freq")).alias("confidence"), "n").where(F.col("confidence") >= mining.min_confidence)
+    rules = both.join(split.where("not bad").select("items", "freq"), "items").select("items", (F.col("n") / F.col("freq")).alias("confidence"), "n", "freq")
+    base = bad / total
+    rules = rules.where((F.col("confidence") >= mining.min_confidence) & (F.col("confidence") >= mining.min_lift * base))
+    if mining.margin is not None and base < 1:
+        # by the Chernoff bound, the number of URLs times the divergence of the confidence from the base rate is the logarithm of how unlikely chance is
+        c = F.col("confidence")
+        beyond = F.col("freq") * (c * F.log(c / base) + F.when(c < 1, (1 - c) * F.log((1 - c) / (1 - base))).otherwise(0.0))
+        rules = rules.where(beyond > math.log(max(1, both.count())) + mining.margin)
+    rules = rules.select("items", "confidence", "n")
     rules = cut(rules.withColumn("rule", F.xxhash64("items")))
 
     def general(rules: DataFrame, subsets: Column) -> DataFrame:
@@ -126,20 +148,46 @@ def match(urls: DataFrame, rules: DataFrame, mining: Mining = Mining()) -> DataF
     """urls with a column `items`: adds mined (the items of the most confident rule that applies, joined; else null) and confidence."""
     rules = cut(rules)
     index = rules.select("rule", "confidence", F.size("items").alias("needed"), F.array_join("items", " & ").alias("mined"), F.explode("items").alias("item"))
-    if index.count() <= mining.broadcast_rules:
+    n = index.count()
+    if not n:
+        return urls.select("*", F.lit(None).cast("string").alias("mined"), F.lit(None).cast("double").alias("confidence"))
+    if n <= mining.broadcast_rules:
         index = F.broadcast(index)
     kinds = urls.select("items").distinct()
     hits = kinds.select("items", F.explode("items").alias("item")).join(index, "item").groupBy("items", "rule", "needed", "mined", "confidence").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == F.col("needed"))
-    best = hits.groupBy("items").agg(F.max(F.struct("confidence", "mined")).alias("best")).select("items", "best.confidence", "best.mined")
-    return urls.join(best, "items", "left")
+    best = cut(hits.groupBy("items").agg(F.max(F.struct("confidence", "mined")).alias("best")).select("items", "best.confidence", "best.mined"))
+    if best.count() <= mining.broadcast_rules:
+        return urls.join(F.broadcast(best), "items", "left")
+    # a host's URLs may all have the same items: they are dealt to several parts by their place in the input
+    salted = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(mining.salts - 1))))
+    return urls.withColumn("salt", (F.monotonically_increasing_id() % mining.salts).cast("int")).join(salted, ["items", "salt"], "left").drop("salt")
+
+
+def useful(labelled: DataFrame, mining: Mining = Mining()) -> bool:
+    """Whether rules mined on a part of the labelled URLs block, among the others, URLs that are bad more often than those that they leave."""
+    part = F.pmod(F.xxhash64("url"), F.lit(mining.held_out))
+    held = labelled.where((part == 0) & F.col("bad").isNotNull()).select(items_of(F.col("url")).alias("items"), "bad")
+    found = match(held, mine(labelled.where(part != 0), mining), mining)
+    hit, bad = F.col("mined").isNotNull(), F.col("bad")
+    found = found.agg(F.count_if(hit), F.count_if(hit & bad), F.count_if(~hit), F.count_if(~hit & bad)).first()
+    blocked, hits, others, misses = found
+    return blocked > 0 and hits * max(1, others) > misses * blocked
+
+
+def mined_rules(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
+    """The rules of mine() if they hold beyond what they were mined from; else none."""
+    labelled = cut(labelled)
+    rules = mine(labelled, mining)
+    return rules if not mining.held_out or rules.isEmpty() or useful(labelled, mining) else rules.limit(0)
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, mining: Mining = Mining(), url: str = "url") -> DataFrame:
     """pages with host, path, rule (of the given ones, else null), mined, confidence and verdict."""
-    at = {name: f"{name}_" if name in pages.columns else name for name in ("host", "path", "rule", "mined", "confidence", "verdict", "items")}
+    free = lambda name: name if name not in pages.columns else free(f"{name}_")
+    at = {name: free(name) for name in ("host", "path", "rule", "mined", "confidence", "verdict")}
     whole = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"))
     source = F.col("page").getField(url)
-    whole = match(whole.withColumn("items", items_of(F.coalesce(source, F.lit("")))), mine(labelled, mining), mining)
+    whole = match(whole.withColumn("items", items_of(F.coalesce(source, F.lit("")))), mined_rules(labelled, mining), mining)
     whole = whole.withColumn("host", host_of(source)).withColumn("path", path_of(source))
     ordered = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
     ruled = lambda value: F.coalesce(*[F.when(fits(F.col("host"), F.col("path"), h, p), F.lit(value(v, h, p))) for v, h, p in ordered], F.lit(None).cast("string"))

@@ -161,19 +161,45 @@ def test_fixed_rules(spark):
         assert got[i].verdict == (rule[1] if rule and rule[0] else "allow") and got[i].host == "h"
 
 
+def loose(**settings):
+    """Support and confidence alone."""
+    return op5_url_rules.Mining(**{"min_count": 1, "min_lift": 0.0, "margin": None, "held_out": 0} | settings)
+
+
+def test_labels_that_say_nothing_about_urls_give_no_rule(spark):
+    rng = random.Random(2)
+    urls = [f"http://{rng.choice('abc')}.{rng.choice(['ads-track', 'news', 'casino-win'])}.org/{rng.choice('xyz')}/{i}?q={i}&{rng.choice('uvw')}=1" for i in range(1500)]
+    noise = spark.createDataFrame([(u, rng.random() < 0.25) for u in urls], "url string, bad boolean")
+    assert op5_url_rules.mined_rules(noise).count() == 0
+    told = spark.createDataFrame([(u, rng.random() < (0.8 if "casino" in u else 0.1)) for u in urls], "url string, bad boolean")
+    rules = op5_url_rules.mined_rules(told).collect()
+    assert {"bit=casino"} in [set(r["items"]) for r in rules] and all(r.confidence > 0.6 and r.n >= 10 for r in rules)
+    assert op5_url_rules.useful(told)
+
+
+def test_urls_of_no_pages_long_ones_and_clashing_names(spark):
+    told = spark.createDataFrame([(f"http://{'bad' if i % 2 else 'good'}.org/{i}", i % 2 == 1) for i in range(200)], "url string, bad boolean")
+    long = "http://bad.org/" + "/".join(f"part{i}x" for i in range(20_000)) + "?" + "&".join(f"k{i}=v" for i in range(20_000))
+    pages = spark.createDataFrame([(1, long, "h", "g"), (2, "http://good.org/1", "h", "g"), (2, "http://good.org/1", "h", "g")], "page_id long, url string, host string, host_ string")
+    got = op5_url_rules.judge(pages, told)
+    assert got.columns[:4] == pages.columns and "host__" in got.columns and len(set(got.columns)) == len(got.columns)
+    assert sorted((r.page_id, r.verdict, r.host__) for r in got.collect()) == [(1, "block", "bad.org"), (2, "allow", "good.org"), (2, "allow", "good.org")]
+    assert op5_url_rules.judge(pages.limit(0), told).count() == 0
+
+
 def test_mined_rules(spark):
     rng = random.Random(9)
     urls = [f"http://{rng.choice(['a', 'b', 'c'])}.example{rng.randint(0, 3)}.biz/{rng.choice(['ads', 'news'])}/{i}.{rng.choice(['html', 'php'])}" for i in range(600)]
     bad = lambda u: "/ads/" in u and u.endswith("php")
     labelled = spark.createDataFrame([(u, bad(u)) for u in urls[:400]] + [(None, True), (urls[0], None)], "url string, bad boolean")
-    rules = op5_url_rules.mine(labelled, op5_url_rules.Mining(min_support=0.1, min_confidence=0.9)).collect()
+    rules = op5_url_rules.mine(labelled, loose(min_support=0.1, min_confidence=0.9)).collect()
     # an extension and a last part with that extension go together here; every rule is as general as can be
     assert {"extension=php first_part=ads", "first_part=ads last_part=0.php"} <= {" ".join(sorted(r["items"])) for r in rules}
     assert all(r.confidence >= 0.9 and not any(set(o["items"]) < set(r["items"]) and o.confidence >= r.confidence for o in rules) for r in rules), rules
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
-    got = op5_url_rules.judge(pages, labelled, mining=op5_url_rules.Mining(min_support=0.1, min_confidence=0.9)).collect()
+    got = op5_url_rules.judge(pages, labelled, mining=loose(min_support=0.1, min_confidence=0.9)).collect()
     assert all((r.verdict == "block") == bad(r.url) for r in got) and len(got) == 600
-    wide = op5_url_rules.judge(pages, labelled, mining=op5_url_rules.Mining(min_support=0.1, min_confidence=0.9, broadcast_rules=0)).collect()
+    wide = op5_url_rules.judge(pages, labelled, mining=loose(min_support=0.1, min_confidence=0.9, broadcast_rules=0)).collect()
     assert sorted((r.page_id, r.verdict) for r in wide) == sorted((r.page_id, r.verdict) for r in got)
 
 
@@ -182,10 +208,10 @@ def test_every_token_of_a_url_can_be_a_rule(spark, where):
     urls = [(where.format("ads-track" if i % 4 == 0 else f"calm{'abcdefg'[i % 7]}", n=i, m="abcdefghijk"[i % 11]), i) for i in range(240)]
     labelled = spark.createDataFrame([(u, i % 4 == 0) for u, i in urls[:160]], "url string, bad boolean")
     pages = spark.createDataFrame([(i, u) for u, i in urls], "page_id long, url string")
-    mining = op5_url_rules.Mining(min_support=0.05, min_confidence=0.9)
+    mining = loose(min_support=0.05, min_confidence=0.9)
     got = op5_url_rules.judge(pages, labelled, rules=(), mining=mining).collect()
     assert all((r.verdict == "block") == (r.page_id % 4 == 0) and (r.mined is None or "ads-track" in r.mined) for r in got) and len(got) == 240
-    wide = op5_url_rules.judge(pages, labelled, rules=(), mining=op5_url_rules.Mining(min_support=0.05, min_confidence=0.9, broadcast_rules=0)).collect()
+    wide = op5_url_rules.judge(pages, labelled, rules=(), mining=loose(min_support=0.05, min_confidence=0.9, broadcast_rules=0)).collect()
     assert sorted((r.page_id, r.verdict) for r in wide) == sorted((r.page_id, r.verdict) for r in got)
 
 
@@ -194,7 +220,7 @@ def test_rules_of_long_urls_by_brute_force(spark):
     tail = "/".join(f"long{c}" for c in "abcdefghijklmnopqrst")  # twenty parts that always go together: one class, not 2 ** 20 item sets
     urls = [f"http://{rng.choice('ab')}.site.org/" + (f"{tail}/{i}" if i % 3 else f"{rng.choice('xy')}/{i}") for i in range(90)]
     labels = [(u, "long" in u and u.startswith("http://a")) for u in urls]
-    got = {frozenset(r["items"]): (r.n, r.confidence) for r in op5_url_rules.mine(spark.createDataFrame(labels, "url string, bad boolean"), op5_url_rules.Mining(0.1, 0.6)).collect()}
+    got = {frozenset(r["items"]): (r.n, r.confidence) for r in op5_url_rules.mine(spark.createDataFrame(labels, "url string, bad boolean"), loose(min_support=0.1, min_confidence=0.6)).collect()}
     assert {frozenset({"first_label=a", f"part=long{c}"}) for c in "abcdefghijklmnopqrst"} <= set(got)
     baskets = [(set(r.items_), r.bad) for r in spark.createDataFrame(labels, "url string, bad boolean").select(op5_url_rules.items_of(F.col("url")).alias("items_"), "bad").collect()]
     counted = lambda s: [sum(s <= b and y for b, y in baskets), sum(s <= b for b, _ in baskets)]
