@@ -1,20 +1,24 @@
 """Sequence packing by lexical retrieval: documents fill each other's windows by BM25.
 
 Texts become token ids once, stored as Parquet in the shared folder. Document frequencies and the number of documents are counted
-over all of them. Whole windows of a document stand alone and are never shuffled. What is left of a document, less than a window, is
-dealt to shards of bounded size by range, in an order that puts those with the same rarest tokens side by side (ranks of a
-byte-level BPE vocabulary grow with rarity; hashes of the ids and of the keys split groups of copies). A shard builds its inverted index a block of
-documents at a time and packs in order: a document is a seed, whose highest weighted tokens are the query. Its unused neighbours
-fill the window, best first as long as they fit whole; the best that does not is cut to fill the window, and its rest is the next
+over all of them. Whole windows of a document stand alone and are never shuffled: they are full, so they neither need nor are neighbours. What is
+left of a document, less than a window, is dealt to shards of a bounded number of tokens by range, in an order that puts those with
+the same rarest tokens side by side (ranks of a byte-level BPE vocabulary grow with rarity; hashes of the ids and of the keys split
+groups of copies). A shard is one inverted index of all its documents. It packs in order: a document is a seed, and all its
+tokens are the query. Its unused neighbours fill the window, best first as long as they fit whole; the best that does not is cut to fill the window, and its rest is the next
 seed. Where no neighbour is left, the next unused document fills. A shard's last open window is cut into sequences whose lengths are
 powers of two, so nothing is padded.
 
+Neighbours are those of the seed's shard: a neighbour in another shard is not found. The README has the share of each document's best
+neighbours in the corpus that lie in its own shard.
+
 The vocabulary is that of the named rank file, which gives the ids of its `tokenizers` twin; a text is split at the added tokens of
 that twin first (`<|endoftext|>`), which get their own ids, as the library does; the vectors that come to the driver and
-are broadcast have one number for each entry of the vocabulary. A block holds at most `block_docs` rests, each below a window.
+are broadcast have one number for each entry of the vocabulary.
 
 Defined results: a null text is an empty one, and its only id is the end of the document; every id of every row, repeated rows
-included, is in exactly one piece; a null document id is carried along; an empty table gives an empty result.
+included, is in exactly one piece; a null document id is carried along; ties between neighbours go by their order in the shard; key columns may
+have any names, those of the result's columns apart; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,14 +48,12 @@ END = 0
 
 @dataclass(frozen=True)
 class Packing:
-    """window: tokens of a sequence. query_terms: tokens of a query. shard_tokens: tokens of a shard, about."""
+    """window: tokens of a sequence. shard_tokens: tokens of a shard, about."""
 
     window: int = 1024
-    query_terms: int = 16
     k1: float = 1.2
     b: float = 0.75
-    shard_tokens: int = 4_000_000
-    block_docs: int = 2048
+    shard_tokens: int = 2_000_000
 
 
 _encodings: dict[str, tiktoken.Encoding] = {}
@@ -102,10 +104,9 @@ def frequencies(tokens: DataFrame, size: int) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for raw in batch["ids"]:
-                seen = np.zeros(size, bool)
-                seen[np.frombuffer(raw, "<u2")] = True
-                total += seen
+            for at in range(0, len(batch), 1000):
+                some = [np.unique(np.frombuffer(raw, "<u2")) for raw in batch["ids"].iloc[at : at + 1000]]
+                total += np.bincount(np.concatenate(some), minlength=size)
         some = np.flatnonzero(total)
         yield pd.DataFrame({"id": some, "n": total[some]})
 
@@ -115,15 +116,15 @@ def frequencies(tokens: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-class Block:
-    """An inverted index of some documents, and what of each is unused."""
+class Index:
+    """An inverted index of a shard's documents (ids that end with END)."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float, packing: Packing) -> None:
         n = len(docs)
         found = [np.unique(x[:-1], return_counts=True) for x in docs]
         sizes = np.array([len(x[0]) for x in found])
         terms, counts = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
-        owner = np.repeat(np.arange(n), sizes)
+        owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
         length = np.array([len(x) for x in docs])
         weight = (idf[terms] * counts * (packing.k1 + 1) / (counts + packing.k1 * (1 - packing.b + packing.b * length[owner] / mean))).astype(np.float32)
         order = np.argsort(terms, kind="stable")
@@ -132,31 +133,32 @@ class Block:
         self.owner, self.weight = owner[order], weight[order]
         slot = np.empty(len(terms), np.int64)
         slot[order] = np.repeat(np.arange(len(starts)), held)
-        useful = np.flatnonzero(held[slot] > 1)  # an id that no other document of the block has finds nothing
-        useful = useful[np.lexsort((slot[useful], -weight[useful], owner[useful]))]
-        first = np.searchsorted(owner[useful], np.arange(n + 1))
-        near = np.arange(len(useful)) - first[owner[useful]] < packing.query_terms
-        chosen = useful[near]
-        self.queries, bounds = slot[chosen].tolist(), np.searchsorted(owner[chosen], np.arange(n + 1)).tolist()
-        self.bounds, self.n = bounds, n
-
-    def neighbours(self, doc: int, free: np.ndarray) -> list[int]:
-        """Unused documents that share a query token, by falling score and then in order. free: 1 for the unused."""
-        terms = self.queries[self.bounds[doc] : self.bounds[doc + 1]]
-        if not terms:
-            return []
-        spans = [(self.starts[t], self.stops[t]) for t in terms]
-        who = np.concatenate([self.owner[a:b] for a, b in spans])
-        score = np.bincount(who, np.concatenate([self.weight[a:b] for a, b in spans]), self.n) * free
+        useful = np.flatnonzero(held[slot] > 1)  # an id that no other document of the shard has finds nothing
+        self.queries, self.bounds, self.n = slot[useful], np.searchsorted(owner[useful], np.arange(n + 1)).tolist(), n
+
+    def scores(self, doc: int) -> np.ndarray:
+        """BM25 of every document for the tokens of one."""
+        spans = [(self.starts[t], self.stops[t]) for t in self.queries[self.bounds[doc] : self.bounds[doc + 1]].tolist()]
+        if not spans:
+            return np.zeros(self.n)
+        return np.bincount(np.concatenate([self.owner[a:b] for a, b in spans]), np.concatenate([self.weight[a:b] for a, b in spans]), self.n)
+
+    def neighbours(self, doc: int, free: np.ndarray) -> Iterator[int]:
+        """Unused documents that share a token, by falling score and then in order. free: 1 for the unused."""
+        score = self.scores(doc) * free
         some = np.flatnonzero(score)
-        return some[np.argsort(-score[some], kind="stable")].tolist()
+        if len(some) > 64:  # the best are nearly always enough
+            best = some[score[some] >= np.partition(score[some], len(some) - 64)[len(some) - 64]]
+            yield from best[np.argsort(-score[best], kind="stable")].tolist()
+            some = np.setdiff1d(some, best, assume_unique=True)
+        yield from some[np.argsort(-score[some], kind="stable")].tolist()
 
 
 Piece = tuple[int, int, int]  # a document's number, where the piece starts, its length
 
 
-def pack(sizes: list[int], index: Block, window: int, opened: list[Piece]) -> Iterator[list[Piece]]:
-    """Full windows of documents that are each shorter than one; opened holds what is left over, and what earlier blocks left over on entry."""
+def pack(sizes: list[int], index: Index, window: int, opened: list[Piece]) -> Iterator[list[Piece]]:
+    """Full windows of documents that are each shorter than one; opened holds what is left over."""
     free = np.ones(len(sizes), np.int8)
     start, rest = [0] * len(sizes), list(sizes)
     space = window - sum(x[2] for x in opened)
@@ -183,7 +185,7 @@ def pack(sizes: list[int], index: Block, window: int, opened: list[Piece]) -> It
         take(own, min(space, rest[own]))
         if space:
             partial = -1
-            for d in index.neighbours(own, free):
+            for d in index.neighbours(own, free.copy()):
                 if rest[d] <= space:
                     take(d, rest[d])
                     if not space:
@@ -246,7 +248,7 @@ def packed(docs: DataFrame, ranks: bytes, text: str = "text", keys: tuple[str, .
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = 2 * TaskContext.get().partitionId() + 1 << 40
         counter, known, opened = 0, {}, []
-        rows: list[tuple] = []
+        rows: list[tuple] = []  # at most a shard's tokens are held at a time
 
         def emit(pieces: list[Piece]) -> None:
             nonlocal counter
@@ -262,32 +264,18 @@ def packed(docs: DataFrame, ranks: bytes, text: str = "text", keys: tuple[str, .
             rows.clear()
             return made
 
-        def run(block: list[tuple[list, int, np.ndarray]]) -> None:
-            nonlocal opened
-            # what an earlier block left open goes on under numbers below zero
-            before = {-i - 1: known[d] for i, (d, _, _) in enumerate(opened)}
-            opened = [(-i - 1, at, n) for i, (_, at, n) in enumerate(opened)]
-            known.clear()
-            known.update(before)
-            known.update(enumerate(block))
-            ids = [x[2] for x in block]
-            for pieces in pack([len(x) for x in ids], Block(ids, idf.value, mean, packing), window, opened):
-                emit(pieces)
-
-        block: list[tuple[list, int, np.ndarray]] = []
-        for batch in batches:
-            for row, base, raw in batch[["keys", "base", "ids"]].itertuples(index=False):
-                block.append((row, base, np.frombuffer(raw, "<u2")))
-                if len(block) == packing.block_docs:
-                    run(block)
-                    yield frame()
-                    block = []
-        if block:
-            run(block)
+        docs = [(row, base, np.frombuffer(raw, "<u2")) for batch in batches for row, base, raw in batch[["keys", "base", "ids"]].itertuples(index=False)]
+        if not docs:
+            return
+        known.update(enumerate(docs))
+        ids = [x[2] for x in docs]
+        for pieces in pack([len(x) for x in ids], Index(ids, idf.value, mean, packing), window, opened):
+            emit(pieces)
+            if len(rows) > 1000:
+                yield frame()
         for pieces in powers(opened):
             emit(pieces)
-        if rows:
-            yield frame()
+        yield frame()
 
     shards = max(1, -(-total // packing.shard_tokens))
     base = F.col("n") - F.col("rest")
@@ -310,4 +298,5 @@ def op7_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces, their ids as a checksum."""
     pieces = packed(docs.select("doc_id", "text"), rank_file())
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    # ranges of shards are drawn anew by each evaluation: written once, all who read the result see the same sequences
+    return stored(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"), "pieces")

@@ -247,7 +247,7 @@ def test_packing_is_exact(spark):
     want = Counter()
     for i, t, _ in rows:
         want[i, tuple(library.encode(t or "", add_special_tokens=False).ids) + (0,)] += 1
-    settings = op7_retrieval_packing.Packing(shard_tokens=20_000, block_docs=32)
+    settings = op7_retrieval_packing.Packing(shard_tokens=20_000)
     got = op7_retrieval_packing.packed(frame, op7_retrieval_packing.rank_file(), packing=settings).collect()
     sequences = defaultdict(list)
     for r in got:
@@ -289,15 +289,27 @@ def test_added_tokens_have_the_ids_of_the_library(spark):
         assert ids == [*library.encode(t, add_special_tokens=False).ids, 0] and all(r.doc_tokens == len(ids) for r in found[i]), t
 
 
-def test_neighbours_are_lexical():
-    rng = np.random.default_rng(1)
-    docs = [np.append(rng.integers(100 * (d % 4) + 1, 100 * (d % 4) + 60, 50), 0).astype("<u2") for d in range(40)]
+def test_neighbours_by_brute_force():
+    rng, packing = np.random.default_rng(1), op7_retrieval_packing.Packing()
+    docs = [np.append(rng.integers(100 * (d % 4) + 1, 100 * (d % 4) + 60, rng.integers(1, 90)), 0).astype("<u2") for d in range(200)]
     df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=500)
-    index = op7_retrieval_packing.Block(docs, np.log1p((40 - df + 0.5) / (df + 0.5)).astype(np.float32), 51.0, op7_retrieval_packing.Packing())
-    free = np.ones(40, np.int8)
+    idf = np.log1p((200 - df + 0.5) / (df + 0.5)).astype(np.float32)
+    index = op7_retrieval_packing.Index(docs, idf, 51.0, packing)
+    free = np.ones(200, np.int8)
     free[8] = 0
-    found = index.neighbours(4, free)
-    assert found and all(d % 4 == 0 for d in found if d != 4) and 8 not in found
+
+    def bm25(query, doc):
+        found, n = 0.0, Counter(doc[:-1].tolist())
+        for t in set(query[:-1].tolist()) & set(n):
+            found += float(idf[t]) * n[t] * (packing.k1 + 1) / (n[t] + packing.k1 * (1 - packing.b + packing.b * len(doc) / 51.0))
+        return found
+
+    for seed in (4, 5, 77):
+        want = {d: bm25(docs[seed], x) for d, x in enumerate(docs)}
+        got = list(index.neighbours(seed, free))
+        assert sorted(got) == sorted(d for d, x in want.items() if x and d != 8) and 8 not in got
+        assert all(want[a] >= want[b] - 1e-4 for a, b in itertools.pairwise(got))
+        assert [d % 4 for d in got] == [seed % 4] * len(got)
 
 
 # --- 10
