@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -23,11 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: the one that `spark.checkpoint.dir` names, or that the session's context was given."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
+    """The folder of spark.checkpoint.dir, which all executors share. Only a session in one process, as in tests, may do without: it gets a folder of its own."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return named
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+    return context.getCheckpointDir()
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:
