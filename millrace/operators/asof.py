@@ -77,15 +77,17 @@ def acceleration(history: DataFrame, key: str, as_of: str, window: int, settings
     return three.select(key, rounded(recent).alias("recent"), rounded(prior).alias("prior"), label.alias("label"))
 
 
-def jumps(history: DataFrame, key: str, threshold: float, keep: float = 0.5) -> DataFrame:
-    """Steps between following observations above the threshold (and above the former value), and whether later values keep enough of them: the least later value decides for a rise, the greatest for a fall."""
+def jumps(history: DataFrame, key: str, least: float, relative: float = 0.0, floor: float = 100.0, keep: float = 0.5) -> DataFrame:
+    """Steps between following observations that are at or above the threshold (the greater of `least` and a share of the former value, which counts as `floor` at least), and what the observations strictly after them say:
+    unconfirmed if there is none, confirmed if each keeps enough of the step, else transient. kept: the least share of the step that a later one keeps; null if there is none."""
     order = Window.partitionBy(key).orderBy("day")
-    later = order.rowsBetween(0, Window.unboundedFollowing)
+    later = order.rowsBetween(1, Window.unboundedFollowing)
     steps = history.select(key, "day", "total", F.lag("total").over(order).alias("before"), F.min("total").over(later).alias("low"), F.max("total").over(later).alias("high"))
     step = F.col("total") - F.col("before")
-    found = steps.where(F.abs(step) >= F.greatest(F.lit(float(threshold)), F.lit(0.0)))
+    found = steps.where(F.abs(step) >= F.greatest(F.lit(float(least)), relative * F.greatest(F.col("before"), F.lit(float(floor)))))
     kept = F.when(step > 0, (F.col("low") - F.col("before")) / step).otherwise((F.col("high") - F.col("before")) / step)
-    return found.select(key, "day", rounded(step).alias("step"), rounded(kept).alias("kept"), (kept >= keep).alias("confirmed"))
+    outcome = F.when(kept.isNull(), "unconfirmed").when(kept < keep, "transient").otherwise("confirmed")
+    return found.select(key, "day", rounded(step).alias("step"), rounded(kept).alias("kept"), outcome.alias("outcome"))
 
 
 def comparable(now: Column, then: Column, same: Column) -> Column:

@@ -29,21 +29,36 @@ def strongest(kinds: Column, order: Sequence[str]) -> Column:
 
 
 def quotas(rows: DataFrame, route: str, family: str, order: Sequence[str], per_route: int, per_family: int) -> DataFrame:
-    """Rows admitted in order while neither their route's nor their family's quota is full. A row that one quota refuses does not use up the other, so each family's routes depend on each other in order; families are independent of routes of other families only if a route lies in one family, and that is what the grouping needs. A group keeps two counters and reads its rows once."""
-    names = [f.name for f in rows.schema]
-
-    def admit(group: pd.DataFrame) -> pd.DataFrame:
-        routes: dict = {}
-        taken, keep = 0, []
-        for r in group.sort_values(list(order))[route]:
-            fits = taken < per_family and routes.get(r, 0) < per_route
-            taken, routes[r] = taken + fits, routes.get(r, 0) + fits
-            keep.append(fits)
-        return group.sort_values(list(order))[keep]
-
-    # no more than the family's quota of each route can be admitted, so a group is bounded by that times its routes
-    place = F.row_number().over(Window.partitionBy(family, route).orderBy(*order))
-    return rows.withColumn("_place", place).where(F.col("_place") <= per_route).drop("_place").groupBy(family).applyInPandas(admit, rows.schema).select(*names)
+    """Rows with one route each, admitted in order while neither their route's nor their family's quota is full: what a full route refuses takes nothing from the family, so two ranks tell."""
+    names = rows.columns
+    placed = rows.withColumn("_in_route", F.row_number().over(Window.partitionBy(family, route).orderBy(*order))).where(F.col("_in_route") <= per_route)
+    return placed.withColumn("_in_family", F.row_number().over(Window.partitionBy(family).orderBy(*order))).where(F.col("_in_family") <= per_family).select(*names)
+
+
+def routed(rows: DataFrame, id: str, routes: str, order: Sequence[str], per_route: int, per_family: int, family_of: Column) -> DataFrame:
+    """Candidates with several routes (an array of strings), in order: each is charged to the least used of its routes that is open, ties by name; a route is open while it and its family are below their quotas. family_of: the family of the column `route`. Result: id, route.
+
+    Each charge depends on those before. A route that is open refuses nobody, so before its last charge come no more of its candidates than all routes can take: only so many of each route are looked at, in one task
+    bounded by the quotas and the number of routes, whatever the number of candidates."""
+    each = rows.select(id, *[c for c in order if c != id], F.explode(F.array_distinct(F.col(routes))).alias("route")).withColumn("family", family_of)
+    most = per_route * max(1, each.select("route").distinct().count())
+    near = each.withColumn("_place", F.row_number().over(Window.partitionBy("route").orderBy(*order))).where(F.col("_place") <= most)
+    wanted = near.groupBy(id, *[c for c in order if c != id]).agg(F.array_sort(F.collect_list(F.struct("route", "family"))).alias("open"))
+    key = rows.schema[id].dataType.simpleString()
+
+    def charge(group: pd.DataFrame) -> pd.DataFrame:
+        by_route: dict = {}
+        by_family: dict = {}
+        out = []
+        for found, open_ in group.sort_values(list(order), kind="stable")[[id, "open"]].itertuples(index=False):
+            fit = [(by_route.get(x["route"], 0), x["route"], x["family"]) for x in open_ if by_route.get(x["route"], 0) < per_route and by_family.get(x["family"], 0) < per_family]
+            if fit:
+                _, r, f = min(fit)
+                by_route[r], by_family[f] = by_route.get(r, 0) + 1, by_family.get(f, 0) + 1
+                out.append((found, r))
+        return pd.DataFrame(out, columns=[id, "route"])
+
+    return wanted.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(charge, f"`{id}` {key}, route string")
 
 
 def chain(rows: DataFrame, key: str, order: Sequence[str], version: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def upsert_edges(edges: DataFrame) -> DataFrame:
     """One edge for each (src, rel, dst): the greatest confidence, all evidence."""
-    return edges.groupBy("src", "rel", "dst").agg(F.max("confidence").alias("confidence"), F.array_sort(F.array_distinct(F.collect_list("evidence"))).alias("evidence"))
+    return edges.groupBy("src", "rel", "dst").agg(F.max("confidence").alias("confidence"), F.array_sort(F.collect_set("evidence")).alias("evidence"))
 
 
 def step(rows: DataFrame, edges: DataFrame, rel: str, way: str = "out", symmetric: bool = False) -> DataFrame:
@@ -47,10 +47,12 @@ def group_by_neighbour(rows: DataFrame, edges: DataFrame, rel: str, way: str, le
     return sized.join(listed, "id")
 
 
-def co_members(edges: DataFrame, rel: str, most_confidence: float, largest: int) -> DataFrame:
-    """Pairs a < b that point at the same node, with how many nodes they share. Nodes with more than `largest` members say nothing about pairs and give none."""
+def co_members(edges: DataFrame, rel: str, most_confidence: float, block: int = 256) -> DataFrame:
+    """Pairs a < b that point at the same node, with how many nodes they share. A node's members meet in parts of about `block` of them, so that those of a node with very many are dealt to many tasks."""
     used = edges.where(F.col("rel") == rel).select("src", "dst", "confidence").distinct()
-    fit = used.join(used.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(2, largest)).select("dst"), "dst")
-    a, b = fit.select("dst", F.col("src").alias("a"), F.col("confidence").alias("ca")), fit.select("dst", F.col("src").alias("b"), F.col("confidence").alias("cb"))
-    pairs = a.join(b, "dst").where("a < b")
+    parts = used.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("dst", F.ceil(F.col("n") / block).alias("parts"))
+    fit = used.join(parts, "dst")
+    a = fit.select("dst", F.pmod(F.xxhash64("src"), "parts").alias("part"), F.col("src").alias("a"), F.col("confidence").alias("ca"))
+    b = fit.select("dst", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("src").alias("b"), F.col("confidence").alias("cb"))
+    pairs = a.join(b, ["dst", "part"]).where("a < b")
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"), F.max(F.least(F.lit(most_confidence), "ca", "cb")).alias("confidence"))

@@ -22,17 +22,19 @@ def fallback(rows: DataFrame, known: DataFrame, keys: Sequence[tuple[str, str, s
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, component (its smallest node). Labels spread to neighbours and jump to their label's own label until none changes; each round is checkpointed, and nothing but a flag comes to the driver."""
-    ends = checkpointed(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(edges.select(F.col(b).alias("x"), F.col(a).alias("y"))).distinct())
-    labels = checkpointed(ends.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("component")))
+    """node, component (its smallest node). Each round every node points at its smallest neighbour, or at what that one points at; edges are then drawn between what their ends point at, and those within one node are gone, so that each round has fewer. Nothing but a flag comes to the driver."""
+    links, named = edges.select(F.col(a).alias("x"), F.col(b).alias("y")), None
     while True:
-        near = ends.join(labels, F.col("y") == F.col("node")).groupBy("x").agg(F.min("component").alias("low"))
-        lower = labels.join(near, F.col("node") == F.col("x")).select("node", F.col("component").alias("was"), F.least("component", "low").alias("component"))
-        jump = labels.select(F.col("node").alias("n"), F.col("component").alias("to"))
-        after = checkpointed(lower.join(jump, F.col("component") == F.col("n")).select("node", "was", F.least("component", "to").alias("component")))
-        labels = after.select("node", "component")
-        if after.where("was <> component").isEmpty():
-            return labels
+        ends = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        least = ends.groupBy("x").agg(F.min("y").alias("y")).select(F.col("x").alias("node"), F.least("x", "y").alias("component"))
+        to = least.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        least = checkpointed(least.join(to, "component").select("node", F.col("to").alias("component")))
+        to = least.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        named = least if named is None else named.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+        p, q = least.select(F.col("node").alias("x"), F.col("component").alias("p")), least.select(F.col("node").alias("y"), F.col("component").alias("q"))
+        links = checkpointed(links.join(p, "x").join(q, "y").where("p <> q").select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")).distinct())
+        if links.isEmpty():
+            return checkpointed(named)
 
 
 def siblings(rows: DataFrame, owner: str, stem: Column, id: str) -> DataFrame:

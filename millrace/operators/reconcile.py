@@ -34,8 +34,8 @@ def unresolved(claims: DataFrame, name: str, source: str) -> DataFrame:
 
 
 def merged(rows: DataFrame, canonical: str, lists: Sequence[str], firsts: Mapping[str, str]) -> DataFrame:
-    """Rows collapsed by their canonical name: lists united and sorted, other columns taken from the row that is first by its order column."""
-    united = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in lists]
+    """Rows collapsed by their canonical name: lists united and sorted, other columns taken from the row that is first by its order column. Only different lists are gathered, and those of a task are merged before the shuffle."""
+    united = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in lists]
     taken = [F.min_by(c, order).alias(c) for c, order in firsts.items()]
     return rows.groupBy(canonical).agg(*united, *taken)
 

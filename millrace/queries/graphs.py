@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import graph, identity, state
@@ -57,10 +57,10 @@ def g_group_neighbour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(spark, sf_dir).start("customer", size={"lte": -0.005}).group("IN", "out", 4).frame().select("id", "n", "members")
 
 
-@query(f"""WITH {EDGES}, fit AS (SELECT src, dst, confidence FROM edges WHERE rel = 'OFFERS' AND dst IN (SELECT dst FROM edges WHERE rel = 'OFFERS' GROUP BY dst HAVING count(*) BETWEEN 2 AND 400))
+@query(f"""WITH {EDGES}, fit AS (SELECT src, dst, confidence FROM edges WHERE rel = 'OFFERS' AND dst IN (SELECT dst FROM edges WHERE rel = 'OFFERS' GROUP BY dst HAVING count(*) > 1))
 SELECT a.src AS a, b.src AS b, count(*) AS n_shared, max(least(0.8, a.confidence, b.confidence)) AS confidence FROM fit a JOIN fit b ON a.dst = b.dst AND a.src < b.src GROUP BY 1, 2""")
 def g_co_alternative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.co_members(edges(spark, sf_dir), "OFFERS", 0.8, 400)
+    return graph.co_members(edges(spark, sf_dir), "OFFERS", 0.8)
 
 
 @query(f"WITH {EDGES} SELECT type, rel, count(*) AS n, round(avg(confidence), 4) AS mean FROM edges JOIN nodes ON id = src GROUP BY ALL")
@@ -81,10 +81,10 @@ LINKS = """links AS (SELECT DISTINCT least(a.o_custkey, b.o_custkey) AS a, great
 @query(f"""WITH RECURSIVE {LINKS}, ends AS (SELECT a AS x, b AS y FROM links UNION SELECT b, a FROM links), reach(x, y) AS (SELECT x, x FROM ends UNION SELECT r.x, e.y FROM reach r JOIN ends e ON r.y = e.x)
 SELECT x AS node, min(y) AS component FROM reach GROUP BY x""")
 def identity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers are tied by orders of the same day, priority and price range."""
-    orders = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority", F.floor(F.col("o_totalprice") / 20000).alias("range"))
-    other = orders.withColumnRenamed("o_custkey", "b")
-    links = orders.withColumnRenamed("o_custkey", "a").join(other, ["o_orderdate", "o_orderpriority", "range"]).where("a < b").select("a", "b").distinct()
+    """Customers are tied by orders of the same day, priority and price range: each to the smallest of its bucket, which gives the same components as all pairs."""
+    bucket = Window.partitionBy("o_orderdate", "o_orderpriority", F.floor(F.col("o_totalprice") / 20000))
+    tied = read(spark, sf_dir, "orders").select(F.min("o_custkey").over(bucket).alias("a"), F.col("o_custkey").alias("b"))
+    links = tied.where("a < b").distinct()
     return identity.components(links)
 
 

@@ -57,13 +57,15 @@ def acceleration_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH days AS (SELECT user_id, CAST(ts AS DATE) AS day, sum(CASE WHEN event_type = 'error' THEN -value ELSE value END) AS total FROM events GROUP BY 1, 2),
-steps AS (SELECT *, lag(total) OVER w AS before, min(total) OVER l AS low, max(total) OVER l AS high FROM days WINDOW w AS (PARTITION BY user_id ORDER BY day), l AS (PARTITION BY user_id ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT user_id, CAST(day AS VARCHAR) AS day, round(total - before, 4) AS step, round(CASE WHEN total > before THEN (low - before) / (total - before) ELSE (high - before) / (total - before) END, 4) AS kept,
-CASE WHEN total > before THEN (low - before) / (total - before) ELSE (high - before) / (total - before) END >= 0.5 AS confirmed FROM steps WHERE abs(total - before) >= 100""")
+numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day) AS n FROM days),
+steps AS (SELECT b.user_id, b.day, b.n, a.total AS before, b.total - a.total AS step FROM numbered a JOIN numbered b ON a.user_id = b.user_id AND b.n = a.n + 1),
+big AS (SELECT * FROM steps WHERE abs(step) >= greatest(100, 0.5 * greatest(before, 100))),
+judged AS (SELECT g.user_id, g.day, g.step, min((l.total - g.before) / g.step) AS kept FROM big g LEFT JOIN numbered l ON l.user_id = g.user_id AND l.n > g.n GROUP BY 1, 2, 3)
+SELECT user_id, CAST(day AS VARCHAR) AS day, round(step, 4) AS step, round(kept, 4) AS kept, CASE WHEN kept IS NULL THEN 'unconfirmed' WHEN kept < 0.5 THEN 'transient' ELSE 'confirmed' END AS outcome FROM judged""")
 def jump_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     signed = F.when(F.col("event_type") == "error", -F.col("value")).otherwise(F.col("value"))
     days = read(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.sum(signed).alias("total"))
-    return asof.jumps(days, "user_id", 100.0).withColumn("day", F.col("day").cast("string"))
+    return asof.jumps(days, "user_id", 100.0, relative=0.5).withColumn("day", F.col("day").cast("string"))
 
 
 @query(f"""WITH {DAILY}, points AS (SELECT DISTINCT user_id, CAST(ts AS DATE) + 2 AS day FROM events WHERE event_type = 'purchase')

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -17,8 +18,19 @@ def session(app: str = "millrace", master: str | None = None, **settings: str) -
 
 
 def checkpointed(df):
-    """df with its lineage cut in the folder that the session names; a local one is made only where none is named, as in tests."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-"))
-    return df.checkpoint(eager=True)
+    """df with its lineage cut: written to the folder that the session names, and read again. A table read again carries no constraints of the plan that made it, which grow with each round of a loop."""
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share. Only a session in one process, as in tests, may do without: it gets a folder of its own."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+    return context.getCheckpointDir()

@@ -1,6 +1,7 @@
 """Evidence, quotas, chains, as-of growth and streaming helpers on tiny frames."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -53,3 +54,19 @@ def test_rate_and_attempts(spark):
 def test_bucket_quantile(spark):
     counts = spark.createDataFrame([("t", 10, 90), ("t", 50, 8), ("t", 1000, 2)], "tool string, bucket int, n int")
     assert [quality.bucket_quantile(counts, "tool", "bucket", "n", q).first()["bucket"] for q in (0.5, 0.95, 0.99)] == [10, 50, 1000]
+
+
+def test_candidates_take_the_least_used_of_their_routes(spark):
+    rng = random.Random(7)
+    names = ["a:x", "a:y", "b:x", "b:y", "b:z"]
+    rows = [(i, rng.sample(names, rng.randint(1, 3))) for i in range(400)]
+    per_route, per_family, routes, families, want = 6, 9, {}, {}, []
+    for i, mine in rows:
+        fit = [r for r in mine if routes.get(r, 0) < per_route and families.get(r[0], 0) < per_family]
+        if fit:
+            best = min(fit, key=lambda r: (routes.get(r, 0), r))
+            routes[best], families[best[0]] = routes.get(best, 0) + 1, families.get(best[0], 0) + 1
+            want.append((i, best))
+    frame = spark.createDataFrame(rows, "i int, routes array<string>")
+    got = evidence.routed(frame, "i", "routes", ["i"], per_route, per_family, F.split("route", ":")[0])
+    assert sorted(map(tuple, got.collect())) == want

@@ -71,10 +71,18 @@ def test_as_of_ignores_later_days_and_respects_tolerance(spark):
     assert bases == {7: d(1)}
 
 
-def test_jump_keeps_by_sign(spark):
-    days = [(1, dt.date(2024, 1, n + 1), v) for n, v in enumerate([0.0, 200.0, 150.0, -100.0, 40.0])]
-    got = {r.day.day: (r.step, r.confirmed) for r in asof.jumps(spark.createDataFrame(days, "k int, day date, total double"), "k", 150.0).collect()}
-    assert got[2] == (200.0, False) and got[4] == (-250.0, False)
+def test_jumps_are_judged_by_what_comes_after(spark):
+    days = [(k, dt.date(2024, 1, n + 1), v) for k, row in enumerate([[0.0, 200.0, 150.0, 160.0], [0.0, 200.0, 20.0], [100.0, 110.0, 900.0], [1000.0, 1100.0], [500.0, 100.0, 120.0]]) for n, v in enumerate(row)]
+    got = {(r.k, r.day.day): (r.step, r.outcome) for r in asof.jumps(spark.createDataFrame(days, "k int, day date, total double"), "k", 150.0, relative=0.5).collect()}
+    # a jump on the newest day waits, one that goes back is a spike, a share of the former value counts
+    assert got == {(0, 2): (200.0, "confirmed"), (1, 2): (200.0, "transient"), (1, 3): (-180.0, "unconfirmed"), (2, 3): (790.0, "unconfirmed"), (4, 2): (-400.0, "confirmed")}
+
+
+def test_members_of_a_large_node_all_meet(spark):
+    edges = spark.createDataFrame([(i, "R", 0, 1.0) for i in range(120)] + [(500, "R", 1, 1.0), (3, "R", 1, 0.5)], "src long, rel string, dst long, confidence double")
+    for block in (16, 1000):
+        got = {(r.a, r.b): r.n_shared for r in graph.co_members(edges, "R", 0.8, block).collect()}
+        assert len(got) == 120 * 119 // 2 + 1 and got[3, 500] == 1
 
 
 def test_upsert_does_not_depend_on_order(spark):
