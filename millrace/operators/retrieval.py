@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -9,8 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scores import rounded
+from millrace.operators.rules import small
 from millrace.session import checkpointed
 
+#: Terms up to which a vocabulary, or what queries ask for, is broadcast; beyond it they meet postings by a shuffle.
+VOCABULARY = 500_000
+
 
 @dataclass(frozen=True)
 class BM25:
@@ -18,39 +23,79 @@ class BM25:
     b: float = 0.75
 
 
-def postings(fields: Sequence[tuple[Column, float]], docs: DataFrame, id: str) -> DataFrame:
-    """doc, term, tf: each field's tokens count with its weight."""
-    def weigh(tokens: Column, w: float) -> Column:
-        return F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(float(w)).alias("w")))
+def counted(tokens: Column) -> Column:
+    """Each different token with how often it occurs, from an array that is sorted: a run's length is where the next begins."""
+    n = F.size(tokens)
+    begins = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.element_at(tokens, i) != F.element_at(tokens, i - 1)))
+    ends = F.concat(F.slice(begins, 2, n), F.array(n + 1))
+    runs = F.zip_with(begins, ends, lambda i, end: F.struct(F.element_at(tokens, i).alias("term"), (end - i).cast("double").alias("tf")))
+    return F.when(n > 0, runs).otherwise(F.array().cast("array<struct<term:string,tf:double>>"))
+
+
+def bags(fields: Sequence[tuple[Column, float]], docs: DataFrame, id: str) -> DataFrame:
+    """doc, length, terms (term, tf): each field's tokens count with its weight. A document is one row, so its terms are counted inside it and nothing is shuffled."""
+    rows = docs.select(F.col(id).alias("doc"), *[F.sort_array(tokens).alias(f"f{i}") for i, (tokens, _) in enumerate(fields)])
 
-    weighted = [weigh(c, w) for c, w in fields]
-    return docs.select(F.col(id).alias("doc"), F.explode(F.flatten(F.array(*weighted)) if len(weighted) > 1 else weighted[0]).alias("t")).groupBy("doc", F.col("t.term").alias("term")).agg(F.sum("t.w").alias("tf"))
+    def weigh(terms: Column, w: float) -> Column:
+        return F.transform(terms, lambda t: F.struct(t["term"].alias("term"), (t["tf"] * float(w)).alias("tf")))
+
+    weighed = [weigh(counted(F.col(f"f{i}")), w) for i, (_, w) in enumerate(fields)]
+    if len(fields) == 1:
+        rows = rows.select("doc", weighed[0].alias("terms"))
+    else:  # as many entries for a term as fields have it
+        rows = rows.select("doc", F.concat(*weighed).alias("all"))
+        names = F.array_distinct(F.transform("all", lambda t: t["term"]))
+        total = lambda name: F.aggregate(F.filter("all", lambda t: t["term"] == name), F.lit(0.0), lambda x, t: x + t["tf"])
+        rows = rows.select("doc", F.transform(names, lambda name: F.struct(name.alias("term"), total(name).alias("tf"))).alias("terms"))
+    return rows.select("doc", F.aggregate("terms", F.lit(0.0), lambda x, t: x + t["tf"]).alias("length"), "terms")
 
 
 @dataclass(frozen=True)
 class Index:
-    postings: DataFrame  # doc, term, tf
-    terms: DataFrame  # term, df, idf
-    lengths: DataFrame  # doc, length
+    bags: DataFrame  # doc, length, terms
     n_docs: int
     mean: float
 
+    @property
+    def postings(self) -> DataFrame:
+        """doc, length, term, tf."""
+        return self.bags.select("doc", "length", F.inline("terms"))
+
+    @functools.cached_property
+    def terms(self) -> DataFrame:
+        """term, df of all terms, counted once."""
+        return checkpointed(self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+
+    def raw(self, found: DataFrame, terms: DataFrame) -> DataFrame:
+        """found with raw, the weight before documents are brought to length one: (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1)."""
+        return found.join(terms, "term").withColumn("raw", (1 + F.log("tf")) * (F.log(F.lit(1.0 + self.n_docs) / (1 + F.col("df"))) + 1))
+
+    @functools.cached_property
+    def norms(self) -> DataFrame:
+        """doc, norm. Where the vocabulary is small enough to broadcast, only one number a document is shuffled."""
+        raw = self.raw(self.postings, small(self.terms, VOCABULARY))
+        return checkpointed(raw.groupBy("doc").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")))
+
+    def hits(self, wanted: DataFrame) -> DataFrame:
+        """Postings of the wanted terms (term) with their df: they are few, and select before anything is shuffled."""
+        found = checkpointed(self.postings.join(small(wanted.select("term").distinct(), VOCABULARY), "term"))
+        return found.join(found.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term")
+
 
 def index(found: DataFrame) -> Index:
-    """Statistics over all documents. Postings are made once and written; two numbers come to the driver."""
-    found = checkpointed(found)
-    lengths = found.groupBy("doc").agg(F.sum("tf").alias("length"))
-    n, total = lengths.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0.0))).first()
-    df = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    terms = df.withColumn("idf", F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    return Index(found, terms, lengths, n, total / n if n else 0.0)
+    """found: bags(). They are written once; two numbers come to the driver."""
+    # only what is written is filtered: a filter on an array of the plan would be pushed below it, and take its inner expressions along
+    found = checkpointed(found).where("length > 0")
+    n, total = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0.0))).first()
+    return Index(found, n, total / n if n else 0.0)
 
 
 def bm25(at: Index, queries: DataFrame, settings: BM25 = BM25()) -> DataFrame:
-    """queries: query, term. query, doc, score (and matched terms) of every document with a term of the query. Terms of all queries select the postings first, so that the rest of the index is not shuffled."""
+    """queries: query, term. query, doc, score and n_matched of every document with a term of the query."""
     wanted = queries.select("query", "term").distinct()
-    hits = at.postings.join(wanted, "term").join(at.terms, "term").join(at.lengths, "doc")
-    part = F.col("idf") * F.col("tf") * (settings.k1 + 1) / (F.col("tf") + settings.k1 * (1 - settings.b + settings.b * F.col("length") / at.mean))
+    hits = at.hits(wanted).join(small(wanted, VOCABULARY), "term")
+    idf = F.log1p((F.lit(at.n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    part = idf * F.col("tf") * (settings.k1 + 1) / (F.col("tf") + settings.k1 * (1 - settings.b + settings.b * F.col("length") / at.mean))
     return hits.groupBy("query", "doc").agg(rounded(F.sum(part)).alias("score"), F.count(F.lit(1)).alias("n_matched"))
 
 
@@ -59,27 +104,43 @@ def best(scored: DataFrame, k: int, by: str = "query") -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), "doc"))).where(F.col("rank") <= k)
 
 
-def tfidf(found: DataFrame, n_docs: int) -> DataFrame:
-    """doc, term, w: (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), of length one for each document."""
-    df = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = found.join(df, "term").select("doc", "term", "df", ((1 + F.log("tf")) * (F.log(F.lit(1.0 + n_docs) / (1 + F.col("df"))) + 1)).alias("raw"))
-    norms = raw.groupBy("doc").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, "doc").select("doc", "term", "df", (F.col("raw") / F.col("norm")).alias("w"))
+def tfidf(at: Index) -> DataFrame:
+    """doc, term, df, w: vectors of length one, of all documents."""
+    raw = at.raw(at.postings, small(at.terms, VOCABULARY))
+    return raw.join(at.norms, "doc").select("doc", "term", "df", (F.col("raw") / F.col("norm")).alias("w"))
+
+
+def question_vectors(at: Index, queries: DataFrame) -> DataFrame:
+    """queries: query, term (as often as it occurs). query, term, w of length one over the terms that the index has."""
+    tf = queries.groupBy("query", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    raw = at.raw(tf, at.hits(queries).select("term", "df").distinct())
+    norms = raw.groupBy("query").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    return raw.join(norms, "query").select("query", "term", (F.col("raw") / F.col("norm")).alias("w"))
+
 
+def cosine(at: Index, queries: DataFrame) -> DataFrame:
+    """queries: query, term, w. query, doc, score: products over the queries' terms only, then the documents' norms."""
+    raw = (1 + F.log("tf")) * (F.log(F.lit(1.0 + at.n_docs) / (1 + F.col("df"))) + 1)
+    found = at.hits(queries).join(small(queries.select("query", "term", "w"), VOCABULARY), "term").groupBy("query", "doc").agg(F.sum(raw * F.col("w")).alias("dot"))
+    return found.join(at.norms, "doc").select("query", "doc", rounded(F.col("dot") / F.col("norm")).alias("score"))
 
-def cosine(vectors: DataFrame, queries: DataFrame) -> DataFrame:
-    """queries: query, term, w. query, doc, score."""
-    q = queries.select("query", "term", F.col("w").alias("qw"))
-    return vectors.join(q, "term").groupBy("query", "doc").agg(rounded(F.sum(F.col("w") * F.col("qw"))).alias("score"))
 
+def hybrid(lexical: DataFrame, vector: DataFrame, seeds: DataFrame, groups: DataFrame, k: int, weights: tuple[float, float, float] = (0.45, 0.35, 0.20)) -> DataFrame:
+    """The first k documents of each query by the weighted sum of the lexical score (as a share of the query's best), the cosine, and whether the document is of the query's seed group; a score that is missing is zero.
+    lexical, vector: query, doc, score; seeds: query, group; groups: doc, group.
 
-def hybrid(lexical: DataFrame, vector: DataFrame, graph: DataFrame, weights: tuple[float, float, float] = (0.45, 0.35, 0.20)) -> DataFrame:
-    """Weighted sum of the lexical score (as a share of the query's best), the cosine and the graph's score; a score that is missing is zero. Inputs: query, doc, score."""
+    Documents that a term finds are scored first. One that only its group speaks for has the third weight alone, so it can come among the first k only where fewer than k found ones exceed that: for such queries, and no others, the group is looked through."""
     top = lexical.groupBy("query").agg(F.max("score").alias("top"))
     lex = lexical.join(top, "query").select("query", "doc", (F.col("score") / F.col("top")).alias("lex"))
-    joined = lex.join(vector.select("query", "doc", F.col("score").alias("cos")), ["query", "doc"], "full_outer").join(graph.select("query", "doc", F.col("score").alias("near")), ["query", "doc"], "full_outer")
-    total = sum((w * F.coalesce(c, F.lit(0.0)) for w, c in zip(weights, ("lex", "cos", "near"), strict=True)), F.lit(0.0))
-    return joined.select("query", "doc", rounded(total).alias("score"))
+    found = lex.join(vector.select("query", "doc", F.col("score").alias("cos")), ["query", "doc"], "full_outer")
+    found = found.join(groups, "doc", "left").join(seeds.withColumnRenamed("group", "seed"), "query", "left")
+    near = F.when(F.col("group") == F.col("seed"), 1.0).otherwise(0.0)
+    total = sum((w * F.coalesce(c, F.lit(0.0)) for w, c in zip(weights, (F.col("lex"), F.col("cos"), near), strict=True)), F.lit(0.0))
+    found = checkpointed(found.select("query", "doc", rounded(total).alias("score")))
+    full = found.where(F.col("score") > weights[2]).groupBy("query").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    short = checkpointed(seeds.join(full, "query", "left_anti"))
+    rest = short.join(groups, "group").select("query", "doc").join(found, ["query", "doc"], "left_anti").withColumn("score", rounded(F.lit(float(weights[2]))))
+    return best(found.unionByName(rest), k)
 
 
 def similar(vectors: DataFrame, least_df: int = 2, most_df: int = 250, candidates: int = 30, shared: int = 2, least: float = 0.35, top: int = 5) -> DataFrame:

@@ -134,7 +134,7 @@ def test_budget_and_caps(spark):
 
 def test_bm25_formula(spark):
     docs = spark.createDataFrame([(1, "cat cat dog"), (2, "dog"), (3, "bird dog fish")], "id int, t string")
-    at = retrieval.index(retrieval.postings([(F.split("t", " "), 1.0)], docs, "id"))
+    at = retrieval.index(retrieval.bags([(F.split("t", " "), 1.0)], docs, "id"))
     got = {r.doc: r.score for r in retrieval.bm25(at, spark.createDataFrame([("q", "cat")], "query string, term string")).collect()}
     import math
 
