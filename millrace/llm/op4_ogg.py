@@ -5,7 +5,8 @@ were stored. A reader verifies each page's checksum, follows the lacing values t
 keeps the logical streams apart by serial number, and derives each packet's time from the granule positions.
 
 Everything works on one row at a time, so memory is bounded by the longest text. Defined results: a null text is an empty one and
-is stored as one packet of padding; equal texts give equal files; a damaged file raises an error.
+is stored as one packet of padding; equal texts give equal files; a damaged file raises an error;
+repeated rows give equal rows; very long texts are written and read whole; an empty table gives an empty result; other columns are not touched.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ failed. A policy is a version and a mask: a document is kept if none of the mask
 leaving one rule out, is a matter of bitwise arithmetic and sums over the ledger; texts are not read again.
 
 Defined results: a null text has no words and fails as an empty one does; very long texts are measured whole; repeated rows are
-measured alike; an empty table gives an empty ledger. Columns that the ledger adds are prefixed where the table has their names.
+measured alike; an empty table gives an empty ledger. Columns that the ledger adds get an underscore where the table has their names.
 """
 
 from __future__ import annotations
@@ -77,7 +77,8 @@ def ledger(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
     whole = whole.select("doc", "m.*")
     bits = sum((F.when(F.expr(r.fails), F.lit(1 << i)).otherwise(0).cast("long") for i, r in enumerate(rules)), F.lit(0).cast("long"))
     whole = whole.withColumn("failed", bits)
-    return whole.select("doc.*", *[F.col(x).alias(f"{prefix}{x}") for x in (*NAMES, "failed")])
+    free = lambda name: name if name not in docs.columns else free(f"{name}_")
+    return whole.select("doc.*", *[F.col(x).alias(free(f"{prefix}{x}")) for x in (*NAMES, "failed")])
 
 
 def fails(policy: int, failed: str = "failed") -> Column:
@@ -103,7 +104,8 @@ def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy keeps."""
-    return ledger(docs, prefix="ledger_").where(~fails(CURRENT, "ledger_failed")).select(*docs.columns)
+    rows = ledger(docs)
+    return rows.where(~fails(CURRENT, f"`{rows.columns[-1]}`")).select(*[f"`{c}`" for c in docs.columns])
 
 
 MEASURED_SQL = r"""
