@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.queries import checking, evidence, graphs, intake, proof, search, selecting, time
+from millrace.queries import checking, evidence, graphs, intake, proof, search, selecting, sources, time
 from millrace.queries.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "checking", "evidence", "graphs", "intake", "proof", "search", "selecting", "time"]
+__all__ = ["ORACLE_SQL", "QUERIES", "checking", "evidence", "graphs", "intake", "proof", "search", "selecting", "sources", "time"]
