@@ -53,7 +53,7 @@ class Packing:
     window: int = 1024
     k1: float = 1.2
     b: float = 0.75
-    shard_tokens: int = 2_000_000
+    shard_tokens: int = 1_000_000
 
 
 _encodings: dict[str, tiktoken.Encoding] = {}
@@ -129,7 +129,7 @@ class Index:
         weight = (idf[terms] * counts * (packing.k1 + 1) / (counts + packing.k1 * (1 - packing.b + packing.b * length[owner] / mean))).astype(np.float32)
         order = np.argsort(terms, kind="stable")
         _, starts, held = np.unique(terms[order], return_index=True, return_counts=True)
-        self.starts, self.stops = starts.tolist(), (starts + held).tolist()
+        self.starts, self.stops, self.live = starts, starts + held, n
         self.owner, self.weight = owner[order], weight[order]
         slot = np.empty(len(terms), np.int64)
         slot[order] = np.repeat(np.arange(len(starts)), held)
@@ -138,20 +138,33 @@ class Index:
 
     def scores(self, doc: int) -> np.ndarray:
         """BM25 of every document for the tokens of one."""
-        spans = [(self.starts[t], self.stops[t]) for t in self.queries[self.bounds[doc] : self.bounds[doc + 1]].tolist()]
+        terms = self.queries[self.bounds[doc] : self.bounds[doc + 1]]
+        spans = [(a, b) for a, b in zip(self.starts[terms].tolist(), self.stops[terms].tolist(), strict=True) if a < b]
         if not spans:
             return np.zeros(self.n)
         return np.bincount(np.concatenate([self.owner[a:b] for a, b in spans]), np.concatenate([self.weight[a:b] for a, b in spans]), self.n)
 
-    def neighbours(self, doc: int, free: np.ndarray) -> Iterator[int]:
-        """Unused documents that share a token, by falling score and then in order. free: 1 for the unused."""
+    def drop(self, free: np.ndarray) -> None:
+        """Leaves out the postings of used documents."""
+        kept = free[self.owner] > 0
+        at = np.concatenate(([0], np.cumsum(kept)))
+        self.starts, self.stops, self.owner, self.weight = at[self.starts], at[self.stops], self.owner[kept], self.weight[kept]
+
+    def ranked(self, doc: int, free: np.ndarray) -> Iterator[np.ndarray]:
+        """Unused documents that share a token, by falling score and then in order: the best, then the others. free: 1 for the unused."""
+        if (live := int(free.sum())) < 0.9 * self.live:
+            self.drop(free)
+            self.live = live
         score = self.scores(doc) * free
         some = np.flatnonzero(score)
-        if len(some) > 64:  # the best are nearly always enough
-            best = some[score[some] >= np.partition(score[some], len(some) - 64)[len(some) - 64]]
-            yield from best[np.argsort(-score[best], kind="stable")].tolist()
-            some = np.setdiff1d(some, best, assume_unique=True)
-        yield from some[np.argsort(-score[some], kind="stable")].tolist()
+        if len(some) > 64:  # the best are often enough
+            least = np.partition(score[some], len(some) - 64)[len(some) - 64]
+            best, some = some[score[some] >= least], some[score[some] < least]
+            yield best[np.argsort(-score[best], kind="stable")]
+        yield some[np.argsort(-score[some], kind="stable")]
+
+    def neighbours(self, doc: int, free: np.ndarray) -> list[int]:
+        return np.concatenate(list(self.ranked(doc, free))).tolist()
 
 
 Piece = tuple[int, int, int]  # a document's number, where the piece starts, its length
@@ -160,7 +173,7 @@ Piece = tuple[int, int, int]  # a document's number, where the piece starts, its
 def pack(sizes: list[int], index: Index, window: int, opened: list[Piece]) -> Iterator[list[Piece]]:
     """Full windows of documents that are each shorter than one; opened holds what is left over."""
     free = np.ones(len(sizes), np.int8)
-    start, rest = [0] * len(sizes), list(sizes)
+    start, rest = [0] * len(sizes), np.array(sizes, np.int64)
     space = window - sum(x[2] for x in opened)
     cursor, seed = 0, -1
 
@@ -182,16 +195,20 @@ def pack(sizes: list[int], index: Index, window: int, opened: list[Piece]) -> It
             seed = cursor
         again = -1
         own = seed
-        take(own, min(space, rest[own]))
+        take(own, min(space, int(rest[own])))
         if space:
             partial = -1
-            for d in index.neighbours(own, free.copy()):
-                if rest[d] <= space:
-                    take(d, rest[d])
-                    if not space:
-                        break
-                elif partial < 0:
-                    partial = d
+            for order in index.ranked(own, free.copy()):
+                left, at = rest[order], 0
+                while space and len(fit := np.flatnonzero(left[at:] <= space)):
+                    if fit[0] and partial < 0:
+                        partial = int(order[at])  # the best that is too long
+                    at += int(fit[0]) + 1
+                    take(int(order[at - 1]), int(rest[order[at - 1]]))
+                if not space:
+                    break
+                if partial < 0 and at < len(order):
+                    partial = int(order[at])
             if space and partial >= 0:
                 take(again := partial, space)
         elif rest[own]:
