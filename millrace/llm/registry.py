@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import op1_chat, op2_order_minhash, op3_toxicity, op4_ogg, op5_url_rules, op6_rule_ledger, op7_retrieval_packing, op8_bpe, op9_mincut, op10_line_frequency, op11_collocations
+from millrace.llm import op1_chat, op2_order_minhash, op3_toxicity, op4_ogg, op5_url_rules, op6_rule_ledger, op7_retrieval_packing, op8_bpe, op9_mincut, op10_line_frequency, op11_collocations, op12_whitening, op13_learned_partitions
 
 QUERIES = {
     "op1_chat_rotation": op1_chat.op1_chat_rotation,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_mincut_extraction": op9_mincut.op9_mincut_extraction,
     "op10_site_line_frequency": op10_line_frequency.op10_site_line_frequency,
     "op11_collocations": op11_collocations.op11_collocations,
+    "op12_whitening": op12_whitening.op12_whitening,
+    "op13_learned_partitions": op13_learned_partitions.op13_learned_partitions,
 }
 ORACLE_SQL = {
     "op1_chat_rotation": op1_chat.OP1_SQL,
