@@ -44,7 +44,8 @@ DELIMITERS = b".,;:!?\n\x0b\x0c\r"
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 PLAIN = bytes.maketrans(UPPER + DELIMITERS + b"\t", LOWER + b"\n" * len(DELIMITERS) + b" ")
 CHUNK = 1 << 21
-BLOCK = 1 << 16
+#: Cells of a sketch, phrases of an automaton, and lists of candidates for each language, that travel together.
+BLOCK, PHRASES, PARTS = 1 << 16, 1 << 12, 256
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -242,10 +243,19 @@ def candidates(texts: DataFrame, words: Bits, bounds: Bits, mining: Mining) -> D
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, bounds = shared.value
-        seen: set[int] = set()  # emptied when it is large: phrases that are found again meet in distinct()
+        seen: set[int] = set()
+        found: dict[tuple[str, int], list[bytes]] = {}
+
+        def frame() -> pd.DataFrame:
+            pack = zstandard.ZstdCompressor(level=1)
+            made = pd.DataFrame([(lang, part, pack.compress(b"\n".join(sorted(some)))) for (lang, part), some in found.items()], columns=["lang", "part", "phrases"])
+            seen.clear()
+            found.clear()
+            return made
+
         for batch in batches:
             for lang, buffer in chunks(batch):
-                w, rows = Words(lang, buffer), []
+                w = Words(lang, buffer)
                 good, h, at = np.zeros(len(w.hashes) + 1, bool), w.hashes, np.flatnonzero(words.reached(w.hashes))
                 h = h[at]
                 good[at] = True
@@ -263,12 +273,24 @@ def candidates(texts: DataFrame, words: Bits, bounds: Bits, mining: Mining) -> D
                     for key, i in zip(fresh.tolist(), at[first].tolist(), strict=True):
                         if key not in seen:
                             seen.add(key)
-                            rows.append((lang, b" ".join(buffer[a:b] for a, b in zip(w.starts[i : i + k].tolist(), w.ends[i : i + k].tolist(), strict=True)).decode("utf-8", "surrogatepass")))
-                if len(seen) > 2_000_000:
-                    seen.clear()
-                yield pd.DataFrame(rows, columns=["lang", "phrase"])
+                            phrase = b" ".join(buffer[a:b] for a, b in zip(w.starts[i : i + k].tolist(), w.ends[i : i + k].tolist(), strict=True))
+                            found.setdefault((lang, key % PARTS), []).append(phrase)
+            if len(seen) > 1_000_000:
+                yield frame()
+        yield frame()
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack, held = zstandard.ZstdDecompressor(), {}
+        for batch in batches:
+            for lang, raw in zip(batch["lang"], batch["phrases"], strict=True):
+                held.setdefault(lang, set()).update(unpack.decompress(raw).split(b"\n"))
+        for lang, some in held.items():
+            rows = [x.decode("utf-8", "surrogatepass") for x in some]
+            for i in range(0, len(rows), 100_000):
+                yield pd.DataFrame({"lang": lang, "phrase": rows[i : i + 100_000]})
 
-    return texts.mapInPandas(find, fields("lang string, phrase string")).distinct()
+    # phrases travel in compressed lists, a task's own met already
+    return texts.mapInPandas(find, fields("lang string, part int, phrases binary")).repartition("lang", "part").mapInPandas(meet, fields("lang string, phrase string"))
 
 
 _compiled: dict[str, dict[str, tuple[ahocorasick.Automaton, list[str]]]] = {}
@@ -300,11 +322,22 @@ def matches(texts: DataFrame, phrases: dict[str, list[str]]) -> DataFrame:
                     automaton, _ = compiled(shared.value, key)[lang]
                     line = b" \n ".join(b" ".join(filter(None, x.split(b" "))) for x in buffer.split(b"\n"))
                     found.setdefault(lang, Counter()).update(map(itemgetter(1), automaton.iter(f" {line.decode('latin-1')} ")))
+        pack = zstandard.ZstdCompressor(level=1)
         for lang, counts in found.items():
-            names = shared.value[lang]
-            yield pd.DataFrame([(lang, names[i], n) for i, n in counts.items()], columns=["lang", "phrase", "f"])
+            cells = np.zeros(len(shared.value[lang]), np.int64)
+            cells[list(counts.keys())] = list(counts.values())
+            yield pd.DataFrame([(lang, i, pack.compress(cells[i : i + PHRASES].tobytes())) for i in range(0, len(cells), PHRASES)], columns=["lang", "first", "cells"])
+
+    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack, sums = zstandard.ZstdDecompressor(), {}
+        for batch in batches:
+            for lang, first, raw in zip(batch["lang"], batch["first"], batch["cells"], strict=True):
+                some = np.frombuffer(unpack.decompress(raw), np.int64)
+                sums[lang, first] = some + sums.get((lang, first), 0)
+        for (lang, first), n in sums.items():
+            yield pd.DataFrame({"lang": lang, "phrase": shared.value[lang][first : first + len(n)], "f": n})[n > 0]
 
-    return texts.mapInPandas(scan, fields("lang string, phrase string, f long")).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return texts.mapInPandas(scan, fields("lang string, first int, cells binary")).repartition("lang", "first").mapInPandas(total, fields("lang string, phrase string, f long"))
 
 
 def counted_phrases(texts: DataFrame, found: DataFrame, mining: Mining) -> DataFrame:
