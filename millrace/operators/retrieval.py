@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,10 +12,14 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scores import rounded
 from millrace.operators.rules import small
-from millrace.session import checkpointed
+from millrace.session import checkpointed, shared_folder
 
 #: Terms up to which a vocabulary, or what queries ask for, is broadcast; beyond it they meet postings by a shuffle.
 VOCABULARY = 500_000
+#: Terms up to which a scan of the postings names them.
+NAMED = 2_000
+#: Folders of postings, and parts by document of each when it is written.
+BUCKETS, SPREAD = 16, 4
 
 
 @dataclass(frozen=True)
@@ -42,25 +47,35 @@ def bags(fields: Sequence[tuple[Column, float]], docs: DataFrame, id: str) -> Da
     weighed = [weigh(counted(F.col(f"f{i}")), w) for i, (_, w) in enumerate(fields)]
     if len(fields) == 1:
         rows = rows.select("doc", weighed[0].alias("terms"))
-    else:  # as many entries for a term as fields have it
-        rows = rows.select("doc", F.concat(*weighed).alias("all"))
-        names = F.array_distinct(F.transform("all", lambda t: t["term"]))
-        total = lambda name: F.aggregate(F.filter("all", lambda t: t["term"] == name), F.lit(0.0), lambda x, t: x + t["tf"])
-        rows = rows.select("doc", F.transform(names, lambda name: F.struct(name.alias("term"), total(name).alias("tf"))).alias("terms"))
+    else:  # as many entries for a term as fields have it: side by side after one sort
+        rows = rows.select("doc", F.sort_array(F.concat(*weighed)).alias("all"))
+        rows = rows.select("doc", summed(F.col("all")).alias("terms"))
     return rows.select("doc", F.aggregate("terms", F.lit(0.0), lambda x, t: x + t["tf"]).alias("length"), "terms")
 
 
+def summed(entries: Column) -> Column:
+    """Entries (term, tf) in order of their terms, those of a term added up."""
+    n, term = F.size(entries), lambda i: F.element_at(entries, i)["term"]
+    begins = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (term(i) != term(i - 1)))
+    ends = F.concat(F.slice(begins, 2, n), F.array(n + 1))
+    total = lambda i, end: F.aggregate(F.slice(entries, i, end - i), F.lit(0.0), lambda x, t: x + t["tf"])
+    runs = F.zip_with(begins, ends, lambda i, end: F.struct(term(i).alias("term"), total(i, end).alias("tf")))
+    return F.when(n > 0, runs).otherwise(F.array().cast("array<struct<term:string,tf:double>>"))
+
+
+def bucket(term: Column) -> Column:
+    """The folder of a term's postings."""
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
 @dataclass(frozen=True)
 class Index:
-    bags: DataFrame  # doc, length, terms
+    """Postings are stored by term: a folder for each bucket of terms, and in a file by term, so that the terms of a query name the folders and row groups that it reads."""
+
+    postings: DataFrame  # doc, length, term, tf, bucket
     n_docs: int
     mean: float
 
-    @property
-    def postings(self) -> DataFrame:
-        """doc, length, term, tf."""
-        return self.bags.select("doc", "length", F.inline("terms"))
-
     @functools.cached_property
     def terms(self) -> DataFrame:
         """term, df of all terms, counted once."""
@@ -76,18 +91,29 @@ class Index:
         raw = self.raw(self.postings, small(self.terms, VOCABULARY))
         return checkpointed(raw.groupBy("doc").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")))
 
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """Postings of the wanted terms (term). A few are named in the scan, so that other folders and row groups are not read; many meet the postings by a join."""
+        terms = wanted.select("term").where("term is not null").distinct().select("term", bucket(F.col("term")).alias("bucket"))
+        named = terms.limit(NAMED + 1).collect()
+        if len(named) <= NAMED:
+            return self.postings.where(F.col("bucket").isin(sorted({r["bucket"] for r in named})) & F.col("term").isin(sorted(r["term"] for r in named)))
+        return self.postings.join(small(terms, VOCABULARY), ["bucket", "term"])
+
     def hits(self, wanted: DataFrame) -> DataFrame:
-        """Postings of the wanted terms (term) with their df: they are few, and select before anything is shuffled."""
-        found = checkpointed(self.postings.join(small(wanted.select("term").distinct(), VOCABULARY), "term"))
+        """Postings of the wanted terms with their df: they are few, and select before anything is shuffled."""
+        found = checkpointed(self.of(wanted).select("doc", "length", "term", "tf"))
         return found.join(found.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term")
 
 
 def index(found: DataFrame) -> Index:
-    """found: bags(). They are written once; two numbers come to the driver."""
-    # only what is written is filtered: a filter on an array of the plan would be pushed below it, and take its inner expressions along
+    """found: bags(). Postings are dealt by term and document (a frequent term's are many tasks' work) and written once; two numbers come to the driver."""
+    # what is written is read from here on: a filter on an array of the plan would be pushed below it, and take its inner expressions along
     found = checkpointed(found).where("length > 0")
     n, total = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0.0))).first()
-    return Index(found, n, total / n if n else 0.0)
+    dealt = found.select("doc", "length", F.inline("terms")).withColumn("bucket", bucket(F.col("term"))).repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(SPREAD)))
+    path = f"{shared_folder(found.sparkSession)}/postings-{uuid.uuid4().hex}"
+    dealt.sortWithinPartitions("bucket", "term", "doc").write.partitionBy("bucket").parquet(path)
+    return Index(found.sparkSession.read.schema(dealt.schema).parquet(path), n, total / n if n else 0.0)
 
 
 def bm25(at: Index, queries: DataFrame, settings: BM25 = BM25()) -> DataFrame:
@@ -125,6 +151,15 @@ def cosine(at: Index, queries: DataFrame) -> DataFrame:
     return found.join(at.norms, "doc").select("query", "doc", rounded(F.col("dot") / F.col("norm")).alias("score"))
 
 
+def explained(at: Index, queries: DataFrame, shown: int = 12) -> DataFrame:
+    """queries: query, term (as often as it occurs). query, doc, score (the cosine), n_matched, and the first `shown` of the matched terms by name."""
+    asked = question_vectors(at, queries)
+    raw = (1 + F.log("tf")) * (F.log(F.lit(1.0 + at.n_docs) / (1 + F.col("df"))) + 1)
+    met = at.hits(asked).join(small(asked, VOCABULARY), "term").groupBy("query", "doc")
+    met = met.agg(F.sum(raw * F.col("w")).alias("dot"), F.count(F.lit(1)).alias("n_matched"), F.slice(F.array_sort(F.collect_set("term")), 1, shown).alias("matched"))
+    return met.join(at.norms, "doc").select("query", "doc", rounded(F.col("dot") / F.col("norm")).alias("score"), "n_matched", "matched")
+
+
 def hybrid(lexical: DataFrame, vector: DataFrame, seeds: DataFrame, groups: DataFrame, k: int, weights: tuple[float, float, float] = (0.45, 0.35, 0.20)) -> DataFrame:
     """The first k documents of each query by the weighted sum of the lexical score (as a share of the query's best), the cosine, and whether the document is of the query's seed group; a score that is missing is zero.
     lexical, vector: query, doc, score; seeds: query, group; groups: doc, group.
