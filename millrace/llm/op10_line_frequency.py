@@ -84,7 +84,7 @@ def op10_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """documents without their boilerplate lines, counted over different texts; n_chars follows the text."""
-    return drop_lines(docs, copies=False).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return drop_lines(docs, copies=False).withColumn("n_chars", F.length("text").cast("long")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def sql(documents: str, columns: str, limits: Boilerplate = Boilerplate()) -> str:

@@ -3,8 +3,9 @@
 A page is split into blocks: runs of text between the tags that begin or end a block. A linear classifier of a block's own text
 (its tag, length, share of link text, whether it ends a sentence) gives a log-odds of being content, bounded on both sides: the capacity
 of its edge to one of the two terminals. The elements that hold blocks are nodes too. One that says what it is has an edge to a
-terminal, with a capacity for each block that it holds: `article` and `main` are for content, the tags of menus, footers,
-sidebars, forms and site headers against it, and words in class, id and role for or against it in proportion to how plainly they say so.
+terminal, with a capacity for each block that it holds (`article` and `main`: for each below them, however deep): `article` and `main` are for content, the tags of menus, footers,
+sidebars, forms and site headers against it, and words in class, id and role for or against it in proportion to how plainly they say so. Inside an
+article a word that prose has, too (`legal`, `share`, `form`), or one that is not the last of its name, is weak evidence, which the block's own text and its article outweigh.
 Blocks are tied to their element, elements to the element around them, and blocks to their neighbours in the page: these are the smoothness
 edges. The minimum cut, found as a maximum flow, separates content from boilerplate; so a short or much linked paragraph stays
 with the article around it, a heading goes with its paragraphs, and an advert in an article goes although its text reads like one.
@@ -15,8 +16,8 @@ hash of the page) whose elements say plainly which they are (`article`, `main` a
 
 Defined results: a null or empty page, and one without content, give an empty text; an empty table gives an empty result; repeated
 rows are extracted alike; broken markup is read as browsers do in the common cases (unclosed paragraphs, stray end tags, an
-unclosed script hides the rest); very long pages are read whole, in time in proportion to their length; elements nested deeper than
-`Costs.depth` count as the one at that depth. A row is worked on by itself, so memory is bounded by the longest page.
+unclosed script hides the rest); very long pages are read whole, in time in proportion to their length, and elements count however deep they are; of more than
+`Costs.silent` elements in a row that say nothing, the inner ones are one. A row is worked on by itself, so memory is bounded by the longest page beside an Arrow batch.
 """
 
 from __future__ import annotations
@@ -51,12 +52,16 @@ SCOPES = frozenset("ul ol dl table article section div nav aside footer header m
 #: Elements whose texts are blocks of what is around them.
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr pre figcaption caption summary tbody thead ul ol dl table blockquote".split())
 #: Tags that are never part of a main text; a header is one outside an article.
-APART = frozenset("nav aside footer form button menu dialog head".split())
+APART = frozenset("nav aside footer form button menu dialog head noscript".split())
 #: Words in class, id or role, for what is apart from a main text, for readers' comments and the like, and for the main text.
 APART_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice alert popup modal overlay newsletter subscribe signup login search menu navbar nav navigation breadcrumb "
     "breadcrumbs sidebar aside footer header masthead toolbar pagination pager share sharing social widget copyright legal complementary contentinfo form".split()
 )
+#: Of those, words that articles have for their own parts.
+PROSE_WORDS = frozenset("legal share sharing form search notice alert banner header copyright social widget login menu complementary promotion toolbar discussion related recommended respond".split())
+#: Of those, words that nothing else is called.
+AD_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo newsletter".split())
 COMMENT_WORDS = frozenset("comment comments reply replies respond disqus discussion related recommended".split())
 MAIN_WORDS = frozenset("article main content post story entry body text".split())
 #: Names that begin with, or hold, the first tell of a layout, names that end in the second of a state; the third say nothing.
@@ -68,7 +73,7 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 @dataclass(frozen=True)
 class Costs:
-    """Weights in units of a log-odds. text: of the classifier's features (FEATURES). clip: bound of a block's own cost. hard, plain, main: of an element's tag, of the words of its names, of a main element, for each block in it.
+    """Weights in units of a log-odds. text: of the classifier's features (FEATURES). clip: bound of a block's own cost. hard, plain, weak, main: of an element's tag, of the words of its names, of such words as articles use, of a main element, for each block in it.
     tied: of a block to an element that says what it is, and of such elements to one another; loose: to one that does not. neighbour: of blocks side by side. firmness: of the given weights against the fitted."""
 
     text: tuple[float, ...] = (-1.5, 1.0, 0.8, -0.5, 1.2, -3.0, 0.8)
@@ -77,10 +82,11 @@ class Costs:
     plain: float = -8.0
     main: float = 4.0
     named_main: float = 1.5
+    weak: float = -1.5
     tied: float = 3.5
     loose: float = 0.8
     neighbour: float = 0.4
-    depth: int = 60
+    silent: int = 8
     max_pages: int = 2_000
     firmness: float = 20.0
 
@@ -98,10 +104,11 @@ class Block:
 
 @dataclass
 class Holder:
-    """An element: its number of the one around it, and what it says for each of its blocks (above zero: content)."""
+    """An element: the number of the one around it, what it says for each of its blocks (above zero: content), and how many in a row, this one included, say nothing."""
 
     around: int
     says: float
+    silent: int = 0
 
 
 def says(tag: str, attributes: str, held_by: str, costs: Costs) -> tuple[float, str]:
@@ -111,18 +118,20 @@ def says(tag: str, attributes: str, held_by: str, costs: Costs) -> tuple[float,
     if tag in ("html", "body"):
         return 0.0, held_by
     names = ["".join(n) for n in NAMED.findall(attributes)] if attributes else []
-    apart = main = comments = 0.0
+    apart = main = comments = weak = 0.0
     for name in " ".join(names).split():
         words = [w.lower() for w in WORDS.findall(name)]
         if not words or words[-1] in STATES or not LAYOUT.isdisjoint(words):
             continue
         words = [w for w in words if w not in NEUTRAL] or words
         share = 1.0 if words[-1] in APART_WORDS or len(words) == 1 else 0.5  # the last word of a name is what it names
-        if set(words) & COMMENT_WORDS:
+        found = set(words) & (APART_WORDS | COMMENT_WORDS)
+        if held_by == "main" and found and (found <= PROSE_WORDS or words[-1] not in found and found.isdisjoint(AD_WORDS)):
+            weak = max(weak, 1.0)
+        elif found & COMMENT_WORDS:
             comments = 1.0
-        elif found := set(words) & APART_WORDS:
-            if found != {"header"} or held_by != "main":
-                apart = max(apart, share)
+        elif found:
+            apart = max(apart, share)
         elif set(words) & MAIN_WORDS:
             main = 1.0
     if comments:
@@ -135,6 +144,8 @@ def says(tag: str, attributes: str, held_by: str, costs: Costs) -> tuple[float,
         return costs.hard, "apart"
     if apart:
         return costs.plain * apart, "apart" if apart == 1.0 else held_by
+    if weak:
+        return costs.weak, held_by
     return (costs.named_main if main and not held_by else 0.0), held_by
 
 
@@ -205,12 +216,11 @@ def blocks(page: str, costs: Costs = Costs()) -> tuple[list[Block], list[Holder]
         if tag in VOID:
             continue
         _, holder, seen, _ = stack[-1]
-        if len(stack) < costs.depth:
-            z, seen = says(tag, m[4], seen, costs)
-            # inside an element that says what it is, those that say nothing are part of it
-            if z or (tag not in LEAVES and tag not in ("html", "body") and not holders[holder].says):
-                holders.append(Holder(holder, z))
-                holder = len(holders) - 1
+        z, seen = says(tag, m[4], seen, costs)
+        # inside an element that says what it is, those that say nothing are part of it
+        if z or (tag not in LEAVES and tag not in ("html", "body") and not holders[holder].says and holders[holder].silent < costs.silent):
+            holders.append(Holder(holder, z, 0 if z else holders[holder].silent + 1))
+            holder = len(holders) - 1
         open_(tag, holder, seen, True)
     pieces.append(page[at:])
     end()
@@ -275,7 +285,9 @@ def graph(found: list[Block], holders: list[Holder], costs: Costs) -> tuple[int,
     """Number of nodes and edges: 0 and 1 are the terminals, then come the blocks, then the elements that hold some."""
     number: dict[int, int] = {}
     held = Counter(b.holder for b in found)
-    edges = []
+    below, edges = Counter(held), []
+    for h in range(len(holders) - 1, 0, -1):  # an element comes after the one around it
+        below[holders[h].around] += below[h]
     for h in held:
         while h and h not in number:
             number[h] = 2 + len(found) + len(number)
@@ -287,7 +299,7 @@ def graph(found: list[Block], holders: list[Holder], costs: Costs) -> tuple[int,
         if b.holder and (tie := costs.tied if holders[b.holder].says else costs.loose):
             edges.append((i + 2, number[b.holder], tie, tie))
     for h, node in number.items():
-        z, around = holders[h].says * held[h], holders[h].around
+        z, around = holders[h].says * (below if holders[h].says == costs.main else held)[h], holders[h].around
         if z:
             edges.append((0, node, z, 0.0) if z > 0 else (node, 1, -z, 0.0))
         if around and (tie := costs.tied if holders[h].says and holders[around].says else costs.loose):

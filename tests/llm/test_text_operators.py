@@ -323,3 +323,33 @@ def test_toxicity_without_labels(spark):
 def test_ranks_are_those_of_the_file(coder):
     first = next(iter(op8_bpe.rank_file(public_tokenizers.path(op8_bpe.VOCABULARY)).splitlines())).split()
     assert coder.ranks[base64.b64decode(first[0])] == int(first[1])
+
+
+SAID = "This is a long sentence of prose that says something about the matter at hand, and it goes on for a while longer."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<main><p id="form-of-government">A</p></main>',
+        '<main><div class="search-results-study"><p>A</p></div></main>',
+        '<article><p>A</p><p class="legal">A</p><p class="share-price">A</p></article>',
+        '<article><p>A</p><section class="discussion"><p>A</p><p>A</p></section><div class="related-work"><p>A</p></div><p class="legal">A</p></article>',
+        '<main><section><div><p class="notice">A</p><div><p>A</p></div></div></section></main>',
+    ],
+)
+def test_a_word_of_a_name_never_empties_an_article(page):
+    n = page.count(">A<")
+    assert extract(page.replace(">A<", f">{SAID}<")) == "\n\n".join([SAID] * n)
+
+
+def test_adverts_and_shares_inside_an_article_go():
+    page = f'<article><p>{SAID}</p><div class="advert"><p>{SAID}</p></div><div class="ad-slot"><p>Buy now.</p></div><div class="share"><a href=x>Tweet</a> <a href=y>Mail</a></div><p>{SAID}</p></article><noscript>Turn it on.</noscript>'
+    assert extract(page) == f"{SAID}\n\n{SAID}"
+
+
+@pytest.mark.parametrize("depth", [3, 10, 71, 200, 3000])
+@pytest.mark.parametrize("menu", ["nav", 'div class="menu"'])
+def test_depth_changes_nothing(depth, menu):
+    inside = f"<{menu}><ul><li><a href=x>Home</a></li><li>About us</li></ul></{menu.split()[0]}><p>{SAID}</p>"
+    assert extract("<div>" * depth + inside + "</div>" * depth) == SAID
