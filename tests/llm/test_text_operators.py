@@ -340,16 +340,16 @@ SAID = "This is a long sentence of prose that says something about the matter at
 )
 def test_a_word_of_a_name_never_empties_an_article(page):
     n = page.count(">A<")
-    assert extract(page.replace(">A<", f">{SAID}<")) == "\n\n".join([SAID] * n)
+    assert text_of(page.replace(">A<", f">{SAID}<")) == "\n\n".join([SAID] * n)
 
 
 def test_adverts_and_shares_inside_an_article_go():
     page = f'<article><p>{SAID}</p><div class="advert"><p>{SAID}</p></div><div class="ad-slot"><p>Buy now.</p></div><div class="share"><a href=x>Tweet</a> <a href=y>Mail</a></div><p>{SAID}</p></article><noscript>Turn it on.</noscript>'
-    assert extract(page) == f"{SAID}\n\n{SAID}"
+    assert text_of(page) == f"{SAID}\n\n{SAID}"
 
 
 @pytest.mark.parametrize("depth", [3, 10, 71, 200, 3000])
 @pytest.mark.parametrize("menu", ["nav", 'div class="menu"'])
 def test_depth_changes_nothing(depth, menu):
     inside = f"<{menu}><ul><li><a href=x>Home</a></li><li>About us</li></ul></{menu.split()[0]}><p>{SAID}</p>"
-    assert extract("<div>" * depth + inside + "</div>" * depth) == SAID
+    assert text_of("<div>" * depth + inside + "</div>" * depth) == SAID
