@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import blocks
+from millrace.operators import blocks, phrases
 from millrace.queries.registry import query
 from millrace.queries.search import fold_sql
 from millrace.sources.tables import read
@@ -66,3 +66,72 @@ def block_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.array_join("found", "|")
     verdict = F.when(F.col("coverage") < 0.5, "other").when(said != "", "restricted").when(F.col("coverage") >= 0.9, "whole").otherwise("part")
     return best.select("text", "ref", F.round("coverage", 4).alias("coverage"), "n_blocks", F.length("leftover").alias("leftover_chars"), said.alias("found"), verdict.alias("verdict"))
+
+
+def spaced(x: str) -> Column:
+    """A text as words with one space between, so that SQL can count phrases by their words."""
+    return F.array_join(blocks.words(F.col(x)), " ")
+
+
+GRAMS = f"""texts AS (SELECT doc_id AS id, source, {words_sql("coalesce(text, '')")} AS w FROM documents),
+known AS (SELECT DISTINCT array_to_string(w[1:k], ' ') AS phrase, k FROM (SELECT {words_sql('text')} AS w FROM benchmark), (SELECT unnest([2, 3]) AS k) WHERE len(w) >= k),
+grams AS (
+  SELECT id, source, p, array_to_string(w[p:p + k - 1], ' ') AS phrase, k,
+         len(array_to_string(w[1:p - 1], ' ')) + CASE WHEN p > 1 THEN 1 ELSE 0 END AS pos
+  FROM (SELECT id, source, w, unnest(range(1, len(w) + 1)) AS p FROM texts), (SELECT unnest([2, 3]) AS k) WHERE p + k - 1 <= len(w))"""
+
+
+def named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two and the first three words of each benchmark item."""
+    w = read(spark, sf_dir, "benchmark").select(blocks.words(F.col("text")).alias("w"))
+    return w.select(F.explode(F.array(*[F.when(F.size("w") >= k, F.array_join(F.slice("w", 1, k), " ")) for k in (2, 3)])).alias("phrase")).where("phrase is not null").distinct()
+
+
+@query(f"""
+WITH {GRAMS}
+SELECT phrase, source, count(*) AS n_hits, count(DISTINCT id) AS n_documents FROM grams JOIN known USING (phrase, k) GROUP BY phrase, source""")
+def phrase_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the openings of benchmark items occur in the documents of each source."""
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), spaced("text").alias("t"), "source")
+    found = phrases.hits(docs, named(spark, sf_dir)).join(docs.select("id", "source"), "id")
+    return found.groupBy("phrase", "source").agg(F.count(F.lit(1)).alias("n_hits"), F.countDistinct("id").alias("n_documents"))
+
+
+@query(f"""
+WITH {GRAMS},
+found AS (SELECT id, phrase, k - 2 AS g, pos, len(phrase) AS n FROM grams JOIN known USING (phrase, k)),
+gaps AS (
+  SELECT a.id, a.phrase, a.pos, min(greatest(b.pos - (a.pos + a.n), a.pos - (b.pos + b.n), 0)) AS gap
+  FROM found a JOIN found b ON a.id = b.id AND b.g = 1 WHERE a.g = 0 GROUP BY ALL)
+SELECT id, count(*) AS n_near, min(gap) AS least_gap FROM gaps WHERE gap <= 200 GROUP BY id""")
+def phrases_nearby(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents where a two-word opening stands within 200 characters of a three-word one."""
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), spaced("text").alias("t"))
+    found = phrases.hits(docs, named(spark, sf_dir)).withColumn("g", F.when(F.size(F.split("phrase", " ")) == 3, 1).otherwise(0))
+    near = phrases.nearest(found, "g").where("gap <= 200")
+    return near.groupBy("id").agg(F.count(F.lit(1)).alias("n_near"), F.min("gap").alias("least_gap"))
+
+
+@query(r"""
+WITH said AS (
+  SELECT p.p_partkey AS id, concat('The ', p.p_name, ', a replacement for the ', q.p_name, ', ', lower(q.p_brand), ' and more. ', p.p_type, ' ', q.p_name, ' alternative; no alternative to ', p.p_name, ' sets.') AS t
+  FROM part p JOIN part q ON q.p_partkey = p.p_partkey + 1),
+names AS (SELECT min(p_partkey) AS name, p_name AS key FROM part GROUP BY p_name UNION ALL SELECT -min(p_partkey), replace(lower(p_brand), '#', ' ') FROM part GROUP BY p_brand),
+lists AS (SELECT id, unnest(regexp_extract_all(lower(t), '\b(?:alternatives?|replacements?) (?:to|for) ([^.;:!?\n]{1,120})', 1)) AS list FROM said),
+raw_items AS (SELECT id, trim(unnest(regexp_split_to_array(list, ',|/|&|\bor\b|\band\b'))) AS x FROM lists),
+items AS (
+  SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '^(?:the|a|an)\s+', ''), '\s+(?:etc\.?|and more)$', ''), '[^a-z0-9.+ -]', ' ', 'g'), '\s+', ' ', 'g'), ' .-') AS key FROM raw_items),
+befores AS (SELECT id, generate_subscripts(b, 1) AS k, unnest(b) AS said FROM (SELECT id, regexp_extract_all(lower(t), '([a-z0-9][a-z0-9.+ -]{0,40}?)[ -]alternatives?\b', 1) AS b FROM said)),
+keyed AS (SELECT id, k, string_split(trim(regexp_replace(regexp_replace(trim(said), '^(?:the|a|an)\s+', ''), '\s+', ' ', 'g'), ' .-'), ' ') AS w FROM befores),
+ends AS (SELECT id, k, cut, array_to_string(w[cut:], ' ') AS key FROM (SELECT *, unnest(range(1, len(w) + 1)) AS cut FROM keyed)),
+longest AS (SELECT id, name, key || ' alternative' AS matched FROM ends JOIN names USING (key) QUALIFY rank() OVER (PARTITION BY id, k ORDER BY cut) = 1)
+SELECT id, name, min(matched) AS matched FROM (SELECT id, name, key AS matched FROM items JOIN names USING (key) UNION ALL SELECT * FROM longest) GROUP BY id, name""")
+def stated_replacements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which names a part's description, made from the part and its neighbour, states that it replaces."""
+    part = read(spark, sf_dir, "part")
+    q = part.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("q_name"), F.lower("p_brand").alias("q_brand"))
+    bits = [F.lit("The "), "p_name", F.lit(", a replacement for the "), "q_name", F.lit(", "), "q_brand", F.lit(" and more. "), "p_type", F.lit(" "), "q_name", F.lit(" alternative; no alternative to "), "p_name", F.lit(" sets.")]
+    texts = part.join(q, "p_partkey").select(F.col("p_partkey").alias("id"), F.concat(*bits).alias("t"))
+    names = part.groupBy(F.col("p_name").alias("key")).agg(F.min("p_partkey").alias("name"))
+    brands = part.groupBy("p_brand").agg((-F.min("p_partkey")).alias("name")).select(F.replace(F.lower("p_brand"), F.lit("#"), F.lit(" ")).alias("key"), "name")
+    return phrases.stated(texts, names.unionByName(brands))
