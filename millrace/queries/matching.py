@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import blocks, phrases
+from millrace.operators import blocks, phrases, scope
 from millrace.queries.registry import query
 from millrace.queries.search import fold_sql
 from millrace.sources.tables import read
@@ -135,3 +135,26 @@ def stated_replacements(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = part.groupBy(F.col("p_name").alias("key")).agg(F.min("p_partkey").alias("name"))
     brands = part.groupBy("p_brand").agg((-F.min("p_partkey")).alias("name")).select(F.replace(F.lower("p_brand"), F.lit("#"), F.lit(" ")).alias("key"), "name")
     return phrases.stated(texts, names.unionByName(brands))
+
+
+@query("""
+WITH p AS (SELECT a.p_partkey AS id, a.p_name AS name, a.p_type AS kind, a.p_brand AS brand, b.p_name AS other FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1)
+SELECT id, 'section' AS form, concat(other, ' of') AS statement, NULL AS feature FROM p
+UNION ALL SELECT id, 'clause', brand, NULL FROM p
+UNION ALL SELECT id, 'clause', concat('We have exporting ', kind, ';'), NULL FROM p
+UNION ALL SELECT id, 'clause', '\u2796', NULL FROM p
+UNION ALL SELECT id, 'table', concat(kind, ' export'), NULL FROM p
+UNION ALL SELECT DISTINCT id, 'feature', NULL, feature FROM p, (SELECT DISTINCT p_name AS feature FROM part) WHERE feature = other""")
+def ruled_out_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What descriptions of parts, made from a part and its neighbour, rule out, and which parts' names are among it."""
+    part = read(spark, sf_dir, "part")
+    other = part.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("other"), F.col("p_brand").alias("other_brand"))
+    bits = [
+        "# ", F.col("p_name"), "\n\n## Features\n- ", F.col("p_type"), " of ", F.col("p_name"), "\n\n## Non-goals\n\n* ", F.col("other"), " of ", F.col("other_brand"), ", and more\n\n## Notes\n",
+        F.col("p_brand"), " is explicitly out of scope. We have no plans to support exporting ", F.col("p_type"), "; a very long and qualified subject is not supported.\n\n\u2796 not planned\n\n| feature | status |\n|---|---|\n| ",
+        F.col("p_type"), " export | \u2796 maybe |\n| ", F.col("p_name"), " | yes |\n",
+    ]
+    texts = part.join(other, "p_partkey").select(F.col("p_partkey").alias("id"), F.concat(*[F.lit(b) if isinstance(b, str) else b for b in bits]).alias("t"))
+    said = scope.statements(texts)
+    out = scope.ruled_out(said, part.select(F.col("p_name").alias("feature")).distinct())
+    return said.select("id", "form", "statement", F.lit(None).cast("string").alias("feature")).unionByName(out.select("id", F.lit("feature").alias("form"), F.lit(None).cast("string").alias("statement"), "feature"))
