@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import checkpointed
+
 
 def upsert_edges(edges: DataFrame) -> DataFrame:
     """One edge for each (src, rel, dst): the greatest confidence, all evidence."""
@@ -56,3 +58,28 @@ def co_members(edges: DataFrame, rel: str, most_confidence: float, block: int =
     b = fit.select("dst", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("src").alias("b"), F.col("confidence").alias("cb"))
     pairs = a.join(b, ["dst", "part"]).where("a < b")
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"), F.max(F.least(F.lit(most_confidence), "ca", "cb")).alias("confidence"))
+
+
+def frontier(seeds: DataFrame, routes: DataFrame, depth: int, least: int = 2, bound: int = 1000) -> DataFrame:
+    """What can be reached from seeds in rounds: id, depth, n_routes (different routes by which the round reached it), status.
+
+    seeds: id; routes: src, route, dst. In each round all that the last one admitted is expanded; an id seen before is not seen again. Those that at least so many routes reach are admitted to the next round, the first `bound`
+    of them by routes and id; others stay as `few_routes` or `over_bound`: they are in the result, and are not expanded. Rounds end at the depth, or when none is admitted. A round's rows are written, so that plans do not grow.
+    """
+    seen = checkpointed(seeds.select("id").distinct().select("id", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("n_routes"), F.lit("seed").alias("status")))
+    rounds, admitted = [seen], seen.select("id")
+    for n in range(1, depth + 1):
+        met = admitted.join(routes.withColumnRenamed("src", "id"), "id").groupBy(F.col("dst").alias("id")).agg(F.countDistinct("route").alias("n_routes"))
+        fresh = checkpointed(met.join(seen.select("id"), "id", "left_anti"))
+        first = fresh.where(F.col("n_routes") >= least).orderBy(F.desc("n_routes"), "id").limit(bound).select("id", F.lit("admitted").alias("first"))
+        other = F.when(F.col("n_routes") < least, "few_routes").otherwise("over_bound")
+        found = checkpointed(fresh.join(first, "id", "left").select("id", F.lit(n).alias("depth"), "n_routes", F.coalesce("first", other).alias("status")))
+        rounds.append(found)
+        admitted = found.where("status = 'admitted'").select("id")
+        if not admitted.limit(1).count():
+            break
+        seen = seen.select("id").unionByName(found.select("id"))
+    whole = rounds[0]
+    for found in rounds[1:]:
+        whole = whole.unionByName(found)
+    return whole
