@@ -11,7 +11,7 @@ from millrace.queries.registry import query
 from millrace.queries.sources import streamed
 from millrace.session import checkpointed
 from millrace.sources.tables import read
-from millrace.streaming import promotion
+from millrace.streaming import promotion, states
 
 BUDGET = 60
 
@@ -65,3 +65,32 @@ def canonical_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = part.select("p_partkey", F.struct(F.array("p_type").alias("kinds"), F.col("p_name").alias("name")).alias("what"), F.col("p_size").cast("double").alias("size"), F.col("p_brand").alias("brand"))
     text = F.concat(F.lit('{ "what": {"name": '), canonical.quoted(F.col("what.name")), F.lit(', "kinds": ['), canonical.quoted(F.col("what.kinds")[0]), F.lit(']}, "size": '), F.col("size").cast("string"), F.lit(', "brand": '), canonical.quoted(F.col("brand")), F.lit("}"))
     return held.select("p_partkey", canonical.digest(canonical.facts(held, ["what", "size", "brand"])).alias("by_schema"), canonical.digest(canonical.canonical_json(text)).alias("by_text"))
+
+
+@query("""
+WITH e AS (SELECT user_id AS id, epoch_us(ts) AS moment, CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'accepted' WHEN 'signup' THEN 'held' ELSE 'queued' END AS outcome FROM events),
+t AS (SELECT *, count(*) FILTER (WHERE outcome = 'failed') OVER w AS tried FROM e WINDOW w AS (PARTITION BY id ORDER BY moment, outcome ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT *, outcome = 'held' OR (outcome = 'failed' AND tried >= 3) AS ends FROM t),
+k AS (SELECT *, count(*) FILTER (WHERE ends) OVER (PARTITION BY id ORDER BY moment, outcome ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ended FROM f)
+SELECT id, arg_max(CASE WHEN outcome = 'failed' THEN CASE WHEN tried >= 3 THEN 'dead_letter' ELSE 'failed_retry' END ELSE outcome END, (moment, outcome)) AS state, max(tried) AS attempts, count(*) AS n_outcomes
+FROM k WHERE ended = 0 GROUP BY id""")
+def streamed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as entities whose events are outcomes: tried again after an error, given up after the third, on a stream."""
+    rows, path = streamed(spark, sf_dir, "entities")
+    kind = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "accepted").when(F.col("event_type") == "signup", "held").otherwise("queued")
+    outcomes = rows.select(F.col("user_id").alias("id"), F.unix_micros("ts").alias("at"), kind.alias("outcome"))
+    states.into(states.entities(outcomes), f"{path}/out", f"{path}/state").awaitTermination()
+    return states.newest(spark, f"{path}/out", ["id"], states.ENTITY).select("id", "state", "attempts", "n_outcomes")
+
+
+@query("""
+WITH m AS (SELECT event_type AS source, user_id % 20 AS item, epoch_us(ts) AS moment, max(value) AS points FROM events WHERE value IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY source, item ORDER BY moment) AS f, row_number() OVER (PARTITION BY source, item ORDER BY moment DESC) AS l FROM m)
+SELECT source, item, arg_max(points, moment) AS points, count(*) AS n_readings, string_agg(printf('%.2f', points), '|' ORDER BY moment) AS readings FROM r WHERE f = 1 OR l < 5 GROUP BY source, item""")
+def streamed_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of an item, of which the first and the latest four stay, on a stream."""
+    rows, path = streamed(spark, sf_dir, "mentions")
+    readings = rows.where("value is not null").select(F.col("event_type").alias("source"), (F.col("user_id") % 20).alias("item"), F.unix_micros("ts").alias("at"), F.col("value").alias("points"))
+    states.into(states.mentions(readings, keep=5, retain=400.0, late="400 days"), f"{path}/out", f"{path}/state").awaitTermination()
+    found = states.newest(spark, f"{path}/out", ["source", "item"], states.MENTION)
+    return found.select("source", "item", "points", "n_readings", F.array_join(F.transform("readings", lambda r: F.format_string("%.2f", r["points"])), "|").alias("readings"))
