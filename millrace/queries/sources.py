@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.operators import reconcile
 from millrace.queries.registry import query
 from millrace.session import shared_folder
-from millrace.sources import io
+from millrace.sources import days, io
 from millrace.sources.tables import read
 from millrace.streaming import events as streams
 
@@ -93,3 +93,14 @@ def streamed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.unionByName(rows).write.parquet(f"{path}/in")
     streams.into(streams.once(streams.stream(spark, f"{path}/in", 64), ["event_id"]), f"{path}/out", f"{path}/state").awaitTermination()
     return spark.read.parquet(f"{path}/out").select("event_id", "user_id", "event_type")
+
+
+@query("""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' GROUP BY ALL""")
+def verified_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a snapshot of JSON lines by day with a manifest, of which three days are checked and read."""
+    rows, path = read(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_id", "event_type"), folder(spark, "snapshot")
+    days.write(rows, path)
+    found = days.read(spark, path, rows.drop("day").schema, "2024-01-10", "2024-01-12", check_first=True)
+    return found.groupBy(F.col("day").cast("string").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
