@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.queries import chains, checking, evidence, graphs, intake, lineages, matching, proof, runs, search, selecting, sources, time
+from millrace.queries import chains, checking, evidence, graphs, intake, lineages, matching, proof, runs, search, selecting, sources, time, verdicts
 from millrace.queries.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "chains", "checking", "evidence", "graphs", "intake", "lineages", "matching", "proof", "runs", "search", "selecting", "sources", "time"]
+__all__ = ["ORACLE_SQL", "QUERIES", "chains", "checking", "evidence", "graphs", "intake", "lineages", "matching", "proof", "runs", "search", "selecting", "sources", "time", "verdicts"]
