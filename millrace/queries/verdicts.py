@@ -136,10 +136,10 @@ def calibration_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH answers AS (SELECT c_mktsegment AS query, c_custkey + CASE WHEN c_custkey % 50 = 0 THEN 1000000000 ELSE 0 END AS id FROM customer QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) <= CASE WHEN c_mktsegment < 'C' THEN 31 ELSE 30 END)
-SELECT query, id, b AS broken FROM (
+SELECT query, CAST(id AS VARCHAR) AS id, b AS broken FROM (
   SELECT query, id, unnest(list_filter([CASE WHEN c_custkey IS NULL THEN 'not_in_facts' END, CASE WHEN c_custkey IS NOT NULL AND NOT c_acctbal >= 9300 THEN 'min_balance' END,
     CASE WHEN c_custkey IS NOT NULL AND c_nationkey IN (3, 4) THEN 'nation' END], lambda x: x IS NOT NULL)) AS b FROM answers LEFT JOIN customer ON c_custkey = id)
-UNION ALL SELECT query, NULL, 'over_limit' FROM answers GROUP BY query HAVING count(*) > 30""")
+UNION ALL SELECT query, '', 'over_limit' FROM answers GROUP BY query HAVING count(*) > 30""")
 def answers_rechecked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a ranking gave, held against the facts: some are not known, some break a constraint, some queries have too many."""
     customer = read(spark, sf_dir, "customer")
@@ -147,4 +147,5 @@ def answers_rechecked(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = customer.withColumn("place", place).where(c("place") <= F.when(c("c_mktsegment") < "C", 31).otherwise(30))
     answers = chosen.select(c("c_mktsegment").alias("query"), (c("c_custkey") + F.when(c("c_custkey") % 50 == 0, 1_000_000_000).otherwise(0)).alias("id"))
     facts = customer.select(c("c_custkey").alias("id"), "c_acctbal", "c_nationkey")
-    return verdicts.violations(answers, facts, [("min_balance", c("c_acctbal") >= 9300), ("nation", ~c("c_nationkey").isin(3, 4))], 30)
+    found = verdicts.violations(answers, facts, [("min_balance", c("c_acctbal") >= 9300), ("nation", ~c("c_nationkey").isin(3, 4))], 30)
+    return found.select("query", F.coalesce(c("id").cast("string"), F.lit("")).alias("id"), "broken")
