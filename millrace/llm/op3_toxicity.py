@@ -235,6 +235,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
+#: Files that the bounded sample, and what is counted of it, are written to.
+FILES = 16
+
+
 def candidates(text: Column) -> Column:
     """A text's different words of at least three letters, and their stems."""
     words = F.array_distinct(F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w: F.length(w) >= STEMS[0]))
@@ -248,7 +252,8 @@ def sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> DataFrame:
     share = min(1.0, fit.max_rows / max(1, known.count()))
     known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     # the bound of the sample is what makes this small enough to broadcast
-    return cut(docs.select("doc_id", text_of("text").alias("text")).join(F.broadcast(known), "doc_id").select("text", (F.col("toxic") == 1).cast("int").alias("toxic")))
+    rows = docs.select("doc_id", text_of("text").alias("text")).join(F.broadcast(known), "doc_id").select("text", (F.col("toxic") == 1).cast("int").alias("toxic"))
+    return cut(rows.repartition(FILES))  # a bounded sample, not one small file for each part of the table
 
 
 def lexicon(rows: DataFrame, fit: Fit) -> dict[str, float]:
@@ -256,7 +261,7 @@ def lexicon(rows: DataFrame, fit: Fit) -> dict[str, float]:
     if not toxic or toxic == n:
         return {}
     base = toxic / n
-    counts = cut(rows.select("toxic", F.explode(candidates(F.col("text"))).alias("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")).where("k >= 2"))
+    counts = cut(rows.select("toxic", F.explode(candidates(F.col("text"))).alias("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")).where("k >= 2").coalesce(FILES))
     # by the Chernoff bound, n times the divergence of the pattern's toxic share from the base rate is the logarithm of how unlikely chance is
     share = F.col("k") / F.col("n")
     beyond = F.col("n") * (share * F.log(share / base) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0))
