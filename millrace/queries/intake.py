@@ -282,8 +282,9 @@ def floor_then_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH r AS (SELECT s_suppkey, s_nationkey = 3 AS must, row_number() OVER (PARTITION BY s_nationkey = 3 ORDER BY s_acctbal DESC, s_suppkey) AS place FROM supplier)
 SELECT s_suppkey, CASE WHEN must THEN 'must' ELSE 'rank' END AS selected_by FROM r WHERE must OR place <= 30 - (SELECT count(*) FROM r WHERE must)""")
 def must_then_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "supplier")
-    return intake.filled(rows, F.col("s_nationkey") == 3, [F.desc("s_acctbal"), F.col("s_suppkey")], min(30, rows.count())).select("s_suppkey", "selected_by")
+    """What must be is in however many there are; the others fill what that leaves of the target."""
+    rows, must = read(spark, sf_dir, "supplier"), F.coalesce(F.col("s_nationkey") == 3, F.lit(False))
+    return intake.filled(rows, must, [F.desc("s_acctbal"), F.col("s_suppkey")], max(30, rows.where(must).count())).select("s_suppkey", "selected_by")
 
 
 @query("""WITH e AS (SELECT p_partkey, p_brand, p_name, p_size % 5 = 0 AS served, p_retailprice AS score FROM part WHERE p_size > 3),
