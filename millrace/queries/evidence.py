@@ -154,7 +154,7 @@ def customer_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max(F.to_date("o_orderdate")).alias("last_order"), F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).when(F.col("o_orderstatus") == "O", 0.0)).alias("finished"))
     rows = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer"), F.col("c_acctbal").alias("balance")).join(orders, F.col("customer") == F.col("o_custkey"), "left")
     rows = rows.withColumn("n_orders", F.coalesce("n", F.lit(0)))
-    return rows.withColumn("p_finished", F.when(F.col("n_orders") >= 5, F.col("finished") * 100)).withColumn("p_balance", F.when(F.col("balance") >= 0, s.log_share(F.col("balance"), 10000) * 100)).withColumn("p_recent", F.greatest(F.lit(0.0), 100.0 - times.age_days(F.col("last_order"), AS_OF) / 5.0))
+    return rows.withColumn("p_finished", F.when(F.col("n_orders") >= 5, F.col("finished") * 100)).withColumn("p_balance", F.when(F.col("balance") >= 0, s.log_share(F.col("balance"), 10000) * 100)).withColumn("p_recent", F.when(F.col("last_order").isNotNull(), F.greatest(F.lit(0.0), 100.0 - times.age_days(F.col("last_order"), AS_OF) / 5.0)))
 
 
 PARTS = (40.0, "p_finished"), (25.0, "p_balance"), (35.0, "p_recent")
