@@ -71,10 +71,10 @@ def history_appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed(spark: SparkSession, sf_dir: str, of: str) -> tuple[DataFrame, str]:
-    """The events as a stream, and a folder for what comes of it."""
+    """The events as a stream, and a folder for what comes of it. The table's files are in no order of time, so what is there is one batch: no event is late, and a key's state is made once."""
     path = folder(spark, of)
     read(spark, sf_dir, "events").write.parquet(f"{path}/in")
-    return streams.stream(spark, f"{path}/in"), path
+    return streams.stream(spark, f"{path}/in", None), path
 
 
 @query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n, round(sum(value), 3) AS total FROM events WHERE ts < (SELECT CAST(max(CAST(ts AS DATE)) - 1 AS TIMESTAMP) FROM events) GROUP BY 1, 2")
@@ -91,7 +91,7 @@ def streamed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folder(spark, "once")
     rows = read(spark, sf_dir, "events")
     rows.unionByName(rows).write.parquet(f"{path}/in")
-    streams.into(streams.once(streams.stream(spark, f"{path}/in", 64), ["event_id"]), f"{path}/out", f"{path}/state").awaitTermination()
+    streams.into(streams.once(streams.stream(spark, f"{path}/in", None), ["event_id"]), f"{path}/out", f"{path}/state").awaitTermination()
     return spark.read.parquet(f"{path}/out").select("event_id", "user_id", "event_type")
 
 

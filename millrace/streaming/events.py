@@ -14,9 +14,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 EVENTS = T.StructType([T.StructField(n, t) for n, t in (("event_id", T.LongType()), ("ts", T.TimestampNTZType()), ("user_id", T.LongType()), ("event_type", T.StringType()), ("value", T.DoubleType()), ("props", T.StringType()))])
 
 
-def stream(spark: SparkSession, folder: str, files: int = 1) -> DataFrame:
-    """A folder of Parquet files as a stream, so many files at a time."""
-    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
+def stream(spark: SparkSession, folder: str, files: int | None = 1) -> DataFrame:
+    """A folder of Parquet files as a stream, so many files at a time. None: all that are there are one batch; files that are not written in order of time need that, as an event is late once a batch with a later one has moved the watermark."""
+    rows = spark.readStream.schema(EVENTS)
+    rows = rows if files is None else rows.option("maxFilesPerTrigger", files)
+    return rows.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def counts(events: DataFrame, late: str = "1 day") -> DataFrame:
