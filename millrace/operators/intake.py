@@ -177,7 +177,8 @@ def table_rows(text: Column) -> Column:
     """Rows of Markdown tables: the cells of each line between bars that is neither a ruler nor directly above one; escaped bars stay in their cell."""
     lines = F.split(text, "\n")
     ruler = r"^\s*\|?\s*:?-+:?\s*(\|\s*:?-+:?\s*)*\|?\s*$"
-    numbered = F.transform(lines, lambda x, i: F.struct(x.alias("line"), F.coalesce(F.try_element_at(lines, i + 2), F.lit("")).alias("next")))
+    # side by side with the lines from the second on: an expression named inside a function of an array is made again for each element
+    numbered = F.zip_with(lines, F.slice(lines, 2, F.size(lines)), lambda x, y: F.struct(x.alias("line"), F.coalesce(y, F.lit("")).alias("next")))
     rows = F.filter(numbered, lambda x: x["line"].rlike(r"^\s*\|.*\|\s*$") & ~x["line"].rlike(ruler) & ~x["next"].rlike(ruler))
     cells = lambda line: F.split(F.regexp_replace(line, r"^\s*\||\|\s*$", ""), r"(?<!\\)\|")
     return F.transform(rows, lambda x: F.transform(cells(x["line"]), lambda c: F.replace(F.btrim(c), F.lit("\\|"), F.lit("|"))))

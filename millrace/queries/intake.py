@@ -9,7 +9,7 @@ from millrace.functions import scores
 from millrace.functions.scores import rounded
 from millrace.operators import evidence, intake
 from millrace.queries.registry import query
-from millrace.sources.tables import read
+from millrace.sources.tables import TEXT_LINES, read
 
 FAMILIES = {"Fasteners": ("bolt", "screw", "ring"), "Machines": ("GEAR", "widget")}
 ALLOWED = ("MIT", "Apache-2.0", "BSD-3-Clause")
@@ -409,9 +409,10 @@ def entity_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT p_brand, p_name AS cell_1, p_type || '|' || p_size AS cell_2 FROM part""")
 def markdown_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts written as a Markdown table for each brand, and read back from it."""
+    """Parts written as Markdown tables for each brand, and read back from them. A brand has as many tables as it needs for each to stay short."""
     line = F.concat(F.lit("| "), F.col("p_name"), F.lit(" | "), F.col("p_type"), F.lit("\\|"), F.col("p_size").cast("string"), F.lit(" |"))
-    texts = read(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_join(F.collect_list(line), "\n").alias("lines"))
+    part = read(spark, sf_dir, "part")
+    texts = part.groupBy("p_brand", F.pmod(F.xxhash64("p_partkey"), F.lit(-(-max(1, part.count()) // TEXT_LINES))).alias("nth")).agg(F.array_join(F.collect_list(line), "\n").alias("lines"))
     text = F.concat(F.lit("# Parts\n\n| name | kind |\n|---|:--|\n"), F.col("lines"), F.lit("\n\nNo | row\n"))
     return texts.select("p_brand", F.explode(intake.table_rows(text)).alias("cells")).select("p_brand", F.col("cells")[0].alias("cell_1"), F.col("cells")[1].alias("cell_2"))
 

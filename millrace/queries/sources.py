@@ -11,7 +11,7 @@ from millrace.operators import reconcile
 from millrace.queries.registry import query
 from millrace.session import shared_folder
 from millrace.sources import days, io
-from millrace.sources.tables import read
+from millrace.sources.tables import TEXT_LINES, read
 from millrace.streaming import events as streams
 
 
@@ -57,11 +57,13 @@ def graph_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT p_brand, 'Parts of ' || p_brand AS heading, p_name AS name, 'https://example.org/' || p_partkey AS url, p_type AS description FROM part")
 def markdown_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts written as a Markdown list for each brand, and read back with the heading that they stand below."""
+    """Parts written as Markdown lists for each brand, and read back with the heading that they stand below. A brand has as many lists as it needs for each to stay short."""
     line = F.concat(F.lit("- ["), F.col("p_name"), F.lit("](https://example.org/"), F.col("p_partkey").cast("string"), F.lit(") - "), F.col("p_type"))
-    texts = read(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_join(F.collect_list(line), "\n").alias("lines"))
-    texts = texts.select("p_brand", F.concat(F.lit("# Parts of "), F.col("p_brand"), F.lit("\n\nsome words\n"), F.col("lines")).alias("text"))
-    return io.listed(texts, "p_brand", "text").select("p_brand", "heading", "name", "url", "description")
+    part = read(spark, sf_dir, "part")
+    text_id = F.struct("p_brand", F.pmod(F.xxhash64("p_partkey"), F.lit(-(-max(1, part.count()) // TEXT_LINES))).alias("nth")).alias("text_id")
+    texts = part.groupBy(text_id).agg(F.array_join(F.collect_list(line), "\n").alias("lines"))
+    texts = texts.select("text_id", F.concat(F.lit("# Parts of "), F.col("text_id.p_brand"), F.lit("\n\nsome words\n"), F.col("lines")).alias("text"))
+    return io.listed(texts, "text_id", "text").select("text_id.p_brand", "heading", "name", "url", "description")
 
 
 @query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_custkey, o_orderkey, 'again' FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0")
