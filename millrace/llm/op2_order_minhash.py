@@ -18,8 +18,10 @@ Candidates are worked off in rounds, so that neither a large group of copies nor
   of different classes, and is then closed.
 - In a larger bucket each round one text, of a class chosen by hash, meets all texts of other classes; what it ties is contracted and leaves
   the bucket. A group of copies closes at once. The texts that no link ties to it choose their own among themselves; what is left after
-  `rounds` is split by the texts' next sketches, each round again; a part that no sketch splits gives all its pairs. A text that is tied in one bucket still meets
-  others in its other buckets, of which most have another first text; tests measure what is merged.
+  `rounds` is split by the texts' next sketches, each round again; a part that no sketch splits gives all its pairs. So most links are found at few pairs.
+- At the end every larger bucket that still holds several classes is gone through whole: each two of its texts that are not of one class are compared by lengths and
+  counts of words, in blocks of bounded size that are dealt over tasks, and aligned if these leave a link possible. No two texts that agree in a band are left out, unless they are of one class
+  already. Time grows with the square of such a bucket; memory does not.
 - No pair is aligned twice. A pair whose lengths, or whose counts of words by 128 hash values, exclude the similarity is not aligned.
 
 Defined results: a null text is an empty one, and all texts without words are copies of each other; a text of fewer than five
@@ -52,7 +54,7 @@ AT_ONCE = 4_000_000
 @dataclass(frozen=True)
 class Near:
     """words: of a k-mer. picks: k-mers of a sketch. rows: sketches of a band. small: texts of a bucket up to which all its pairs are made. rounds: texts of a larger bucket that meet all its others before it is split.
-    bins: hash values that words are counted by. texts_at_once, pairs_at_once: rows that a Python worker gets at a time. broadcast_keys: keys of texts (five numbers each) up to which they are broadcast."""
+    bins: hash values that words are counted by. block: texts of a side of the blocks in which a larger bucket is gone through. texts_at_once, pairs_at_once: rows that a Python worker gets at a time. broadcast_keys: keys of texts (five numbers each) up to which they are broadcast."""
 
     words: int = 5
     similarity: float = 0.8
@@ -62,6 +64,7 @@ class Near:
     small: int = 16
     rounds: int = 2
     bins: int = 128
+    block: int = 1024
     texts_at_once: int = 2000
     pairs_at_once: int = 128
     broadcast_keys: int = 500_000
@@ -245,6 +248,38 @@ def pairs_of(opened: DataFrame, near: Near) -> DataFrame:
     return small.unionByName(large).where(fit).select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
+def possible_pairs(near: Near):
+    def pairs(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("n", kind="stable")
+        first, second = block[block["first"]], block[~block["first"]]
+        ids, n, labels, main = (second[c].to_numpy() for c in ("id", "n", "label", "main"))
+        x, y = (np.frombuffer(b"".join(side["tally"]), np.uint8).reshape(-1, near.bins) for side in (first, second))
+        ratio, found = near.similarity / (2 - near.similarity), []
+        for i, (id, size, label) in enumerate(first[["id", "n", "label"]].itertuples(index=False)):
+            low, high = np.searchsorted(n, size * ratio - 1e-6), np.searchsorted(n, size / ratio + 1e-6, side="right")
+            some = low + np.flatnonzero((labels[low:high] != label) & ((labels[low:high] == main[low:high]) | (ids[low:high] > id)))
+            apart = (np.maximum(x[i], y[some]) - np.minimum(x[i], y[some])).sum(axis=1, dtype=np.int64)
+            others = ids[some[apart <= (1 - near.similarity) * (size + n[some]) + 1e-6]]
+            found.append(np.stack([np.minimum(id, others), np.maximum(id, others)]))
+        return pd.DataFrame(np.concatenate([np.empty((2, 0), np.int64), *found], axis=1).T, columns=["a", "b"])
+
+    return pairs
+
+
+def pairs_left(large: DataFrame, labels: DataFrame | None, reps: DataFrame, near: Near) -> DataFrame:
+    """Different pairs a < b (ids) of one bucket and different labels whose lengths and counts of words leave a link possible. A pair has a text outside its bucket's largest class: such texts meet all others of the bucket, in blocks."""
+    held = labelled_members(large, labels)
+    counted = held.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size")).groupBy("bucket").agg(F.sum("size").alias("size"), F.max(F.struct("size", "label")).alias("most")).where("most.size < size")
+    parts = counted.select("bucket", F.col("most.label").alias("main"), F.ceil((F.col("size") - F.col("most.size")) / near.block).alias("parts"), F.ceil(F.col("size") / near.block).alias("others"))
+    held = cut(held.select("bucket", "id", "n", "label").join(parts, "bucket").join(reps.select("id", "tally"), "id"))
+    columns = ["id", "n", "label", "main", "tally"]
+    part = lambda of: F.pmod(F.xxhash64("id"), of)
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+    first = held.where("label <> main").select("bucket", part("parts").alias("part"), every("others").alias("other"), F.lit(True).alias("first"), *columns)
+    second = held.select("bucket", every("parts").alias("part"), part("others").alias("other"), F.lit(False).alias("first"), *columns)
+    return first.unionByName(second).groupBy("bucket", "part", "other").applyInPandas(possible_pairs(near), fields("a long, b long")).distinct()
+
+
 def links_of(pairs: DataFrame, reps: DataFrame, source: DataFrame, near: Near) -> DataFrame:
     """The pairs of ids that the alignment confirms."""
     a, b = (reps.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("tally").alias(f"t{x}")) for x in "ab")
@@ -320,8 +355,9 @@ def split(members: DataFrame, reps: DataFrame, near: Near) -> DataFrame:
 def tied_texts(reps: DataFrame, source: DataFrame, near: Near) -> DataFrame | None:
     """id, label of the texts that some link ties; None if there is no link. reps: id, n, t, bands, tally; source: t, text."""
     buckets = reps.select("id", "n", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
-    members = cut(buckets.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "id", "n", F.lit(1).alias("depth"), F.lit(0).alias("turns")))
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    met = cut(buckets.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "id", "n", F.lit(1).alias("depth"), F.lit(0).alias("turns"), "size"))
+    members, large = met.drop("size"), met.where(F.col("size") > near.small).drop("size")
     labels, tested, turn = None, None, 0
     while not members.isEmpty():
         opened = cut(open_buckets(labelled_members(members, labels), near, turn))
@@ -334,7 +370,11 @@ def tied_texts(reps: DataFrame, source: DataFrame, near: Near) -> DataFrame | No
         left = untied(opened.where(~F.col("whole")), labels).withColumn("turns", F.col("turns") + 1)
         parts = split(left.where(F.col("turns") >= near.rounds), reps, near)
         members, turn = cut(left.where(F.col("turns") < near.rounds).select("bucket", "id", "n", "depth", "turns").unionByName(parts)), turn + 1
-    return labels
+    if large.isEmpty():
+        return labels
+    pairs = cut(pairs_left(large, labels, reps, near).join(tested, ["a", "b"], "left_anti"))
+    links = None if pairs.isEmpty() else links_of(pairs, reps, source, near)
+    return labels if links is None or links.isEmpty() else joined_by(labels, links)
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", near: Near = Near()) -> DataFrame:

@@ -69,6 +69,34 @@ def test_a_group_of_far_copies_is_merged(spark, copies):
     assert len(got) == copies and copies - found >= 0.95 * (copies - true)  # of the merges
 
 
+def merged_by_brute_force(texts, near):
+    """Sets of texts that links tie between texts that agree in a band."""
+    hashes = [near_dups.word_hashes(t) for t in texts]
+    bands = [set(near_dups.sketches(near_dups.labelled(near_dups.kmers(h, near.words)), near).tolist()) for h in hashes]
+    label = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if label[a] != label[b] and bands[a] & bands[b] and near_dups.alignment(hashes[a], hashes[b], near.similarity):
+            label = [label[a] if x == label[b] else x for x in label]
+    return {frozenset(i for i, x in enumerate(label) if x == y) for y in set(label)}
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_no_link_of_a_large_bucket_is_lost(spark, block):
+    """Each text has a third of one passage and what ties it to its neighbours in a chain, so that the first text of a bucket ties some away from others."""
+    rng, near = random.Random(11), near_dups.Near(bands=8, small=4, rounds=1, block=block)
+    passage, tail = rng.choices(WORDS, k=40), rng.choices(WORDS, k=60)
+    texts = []
+    for _ in range(120):
+        for at in rng.sample(range(60), 11):
+            tail[at] = rng.choice(WORDS)
+        texts.append(" ".join(passage + tail))
+    rng.shuffle(texts)
+    groups = defaultdict(set)
+    for r in near_dups.classes(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", near=near).collect():
+        groups[r.class_id].add(r.id)
+    assert set(map(frozenset, groups.values())) == merged_by_brute_force(texts, near)
+
+
 def test_texts_that_share_a_passage_are_no_copies_and_do_not_hide_them(spark):
     """Half of each text is one passage: its bands hold all texts, which no round ties; the copies among them are found."""
     rng = random.Random(5)
