@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.rules import small
 from millrace.session import checkpointed
 
 
@@ -50,14 +51,24 @@ def group_by_neighbour(rows: DataFrame, edges: DataFrame, rel: str, way: str, le
 
 
 def co_members(edges: DataFrame, rel: str, most_confidence: float, block: int = 256) -> DataFrame:
-    """Pairs a < b that point at the same node, with how many nodes they share. A node's members meet in parts of about `block` of them, so that those of a node with very many are dealt to many tasks."""
+    """Pairs a < b that point at the same node, with how many nodes they share.
+
+    Members are numbered in their order, so that pairs are of numbers and not of names. A node's members are lists of about `block` of them; each member meets each list, and what it meets is dealt by the member as one row, not as a row
+    for each pair. A node with very many members is many tasks' work.
+    """
     used = edges.where(F.col("rel") == rel).select("src", "dst", "confidence").distinct()
+    named = checkpointed(used.select("src").distinct().orderBy("src").select("src", F.monotonically_increasing_id().alias("id")))  # written, so that the numbers stay
     parts = used.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("dst", F.ceil(F.col("n") / block).alias("parts"))
-    fit = used.join(parts, "dst")
-    a = fit.select("dst", F.pmod(F.xxhash64("src"), "parts").alias("part"), F.col("src").alias("a"), F.col("confidence").alias("ca"))
-    b = fit.select("dst", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("src").alias("b"), F.col("confidence").alias("cb"))
-    pairs = a.join(b, ["dst", "part"]).where("a < b")
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"), F.max(F.least(F.lit(most_confidence), "ca", "cb")).alias("confidence"))
+    fit = used.join(small(named), "src").select("id", "dst", "confidence").join(parts, "dst")
+    lists = fit.groupBy("dst", F.pmod(F.xxhash64("id"), "parts").alias("part")).agg(F.collect_list(F.struct(F.col("id").alias("b"), F.col("confidence").alias("c"))).alias("all"))
+    met = fit.select("dst", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("id").alias("a"), "confidence").join(lists, ["dst", "part"])
+    others = F.filter("all", lambda x: x["b"] > F.col("a"))
+    confidence = F.transform("others", lambda x: F.least(F.lit(most_confidence), "confidence", x["c"]))
+    met = met.select("a", "confidence", others.alias("others")).where(F.size("others") > 0).select("a", F.col("others.b").alias("b"), confidence.alias("c"))
+    pairs = met.repartition("a").select("a", F.explode(F.arrays_zip("b", "c")).alias("x")).select("a", "x.b", "x.c")
+    found = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"), F.max("c").alias("confidence"))
+    name = lambda x: small(named).select(F.col("id").alias(x), F.col("src").alias(f"name_{x}"))
+    return found.join(name("a"), "a").join(name("b"), "b").select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), "n_shared", "confidence")
 
 
 def frontier(seeds: DataFrame, routes: DataFrame, depth: int, least: int = 2, bound: int = 1000) -> DataFrame:
