@@ -25,6 +25,10 @@ FILLER = ("is are was be being currently yet still also now explicitly intention
 SEPARATORS = ("=", ":", "-", "·", "|", "—", "–", "/", "*", "**")
 
 
+#: Texts of a task, about.
+TEXTS_AT_ONCE = 50_000
+
+
 @dataclass(frozen=True)
 class Scope:
     """lead: words that are read of an item, and one more of a list after a marker. subject: words of a subject before a marker; a longer one is not read."""
@@ -86,7 +90,9 @@ def clauses(line: Column, scope: Scope) -> Column:
 
 def statements(texts: DataFrame, scope: Scope = Scope()) -> DataFrame:
     """id, line (from 1), form (section, clause, table), statement. texts: id, t."""
-    some = texts.select("id", "t").where(F.col("t").rlike(scope.marker) | F.col("t").rlike("(?m)" + scope.heading))
+    # texts are much work and few bytes: they are dealt before it, so that a table in one file is not one task
+    dealt = texts.select("id", "t").repartition(max(3 * texts.sparkSession.sparkContext.defaultParallelism, -(-texts.count() // TEXTS_AT_ONCE)), "id")
+    some = dealt.where(F.col("t").rlike(scope.marker) | F.col("t").rlike("(?m)" + scope.heading))
     lines = some.select("id", F.posexplode(F.split("t", r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]")).alias("line", "x"))
     order = Window.partitionBy("id").orderBy("line")
     heading = F.col("x").rlike(r"^\s{0,3}#{1,6}\s")
