@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from millrace.operators.rules import small
 from millrace.session import checkpointed
 
+#: Names of members up to which they are broadcast, so that pairs are not shuffled to be named.
+MOST_NAMES = 1_000_000
+
 
 def upsert_edges(edges: DataFrame) -> DataFrame:
     """One edge for each (src, rel, dst): the greatest confidence, all evidence."""
@@ -59,7 +62,7 @@ def co_members(edges: DataFrame, rel: str, most_confidence: float, block: int =
     used = edges.where(F.col("rel") == rel).select("src", "dst", "confidence").distinct()
     named = checkpointed(used.select("src").distinct().orderBy("src").select("src", F.monotonically_increasing_id().alias("id")))  # written, so that the numbers stay
     parts = used.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("dst", F.ceil(F.col("n") / block).alias("parts"))
-    fit = used.join(small(named), "src").select("id", "dst", "confidence").join(parts, "dst")
+    fit = used.join(small(named, MOST_NAMES), "src").select("id", "dst", "confidence").join(parts, "dst")
     lists = fit.groupBy("dst", F.pmod(F.xxhash64("id"), "parts").alias("part")).agg(F.collect_list(F.struct(F.col("id").alias("b"), F.col("confidence").alias("c"))).alias("all"))
     met = fit.select("dst", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("id").alias("a"), "confidence").join(lists, ["dst", "part"])
     others = F.filter("all", lambda x: x["b"] > F.col("a"))
@@ -67,7 +70,7 @@ def co_members(edges: DataFrame, rel: str, most_confidence: float, block: int =
     met = met.select("a", "confidence", others.alias("others")).where(F.size("others") > 0).select("a", F.col("others.b").alias("b"), confidence.alias("c"))
     pairs = met.repartition("a").select("a", F.explode(F.arrays_zip("b", "c")).alias("x")).select("a", "x.b", "x.c")
     found = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_shared"), F.max("c").alias("confidence"))
-    name = lambda x: small(named).select(F.col("id").alias(x), F.col("src").alias(f"name_{x}"))
+    name = lambda x: small(named, MOST_NAMES).select(F.col("id").alias(x), F.col("src").alias(f"name_{x}"))
     return found.join(name("a"), "a").join(name("b"), "b").select(F.col("name_a").alias("a"), F.col("name_b").alias("b"), "n_shared", "confidence")
 
 
