@@ -156,6 +156,6 @@ def ruled_out_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type"), " export | \u2796 maybe |\n| ", F.col("p_name"), " | yes |\n",
     ]
     texts = part.join(other, "p_partkey").select(F.col("p_partkey").alias("id"), F.concat(*[F.lit(b) if isinstance(b, str) else b for b in bits]).alias("t"))
-    said = checkpointed(scope.statements(texts))  # read four times below
+    said = checkpointed(scope.statements(texts))  # several branches read it
     out = scope.ruled_out(said, part.select(F.col("p_name").alias("feature")).distinct())
     return said.select("id", "form", "statement", F.lit(None).cast("string").alias("feature")).unionByName(out.select("id", F.lit("feature").alias("form"), F.lit(None).cast("string").alias("statement"), "feature"))
