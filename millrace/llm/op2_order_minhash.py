@@ -20,8 +20,9 @@ Candidates are worked off in rounds, so that neither a large group of copies nor
   the bucket. A group of copies closes at once. The texts that no link ties to it choose their own among themselves; what is left after
   `rounds` is split by the texts' next sketches, each round again; a part that no sketch splits gives all its pairs. So most links are found at few pairs.
 - At the end every larger bucket that still holds several classes is gone through whole: each two of its texts that are not of one class are compared by lengths and
-  counts of words, in blocks of bounded size that are dealt over tasks, and aligned if these leave a link possible. No two texts that agree in a band are left out, unless they are of one class
-  already. Time grows with the square of such a bucket; memory does not.
+  words without their order, in blocks of bounded size that are dealt over tasks, and aligned if these leave a link possible. A text first meets the `nearest` of each other class by these words, as
+  one link ties it to all of them; what no link has tied by then meets all the rest. No two texts that agree in a band are left out, unless they are of one class already. The time of the blocks grows with
+  the square of such a bucket, memory does not; all pairs are only made of texts that have no link to a class.
 - No pair is aligned twice. A pair whose lengths, or whose counts of words by 128 hash values, exclude the similarity is not aligned.
 
 Defined results: a null text is an empty one, and all texts without words are copies of each other; a text of fewer than five
@@ -54,7 +55,7 @@ AT_ONCE = 4_000_000
 @dataclass(frozen=True)
 class Near:
     """words: of a k-mer. picks: k-mers of a sketch. rows: sketches of a band. small: texts of a bucket up to which all its pairs are made. rounds: texts of a larger bucket that meet all its others before it is split.
-    bins: hash values that words are counted by. block: texts of a side of the blocks in which a larger bucket is gone through. texts_at_once, pairs_at_once: rows that a Python worker gets at a time. broadcast_keys: keys of texts (five numbers each) up to which they are broadcast."""
+    bins: hash values that words are counted by. block: texts of a side of the blocks in which a larger bucket is gone through. block_words: words of such a text, on average, up to which blocks have that many. nearest: texts of a class that another text meets in them before it meets all. texts_at_once, pairs_at_once: rows that a Python worker gets at a time. broadcast_keys: keys of texts (five numbers each) up to which they are broadcast."""
 
     words: int = 5
     similarity: float = 0.8
@@ -65,6 +66,8 @@ class Near:
     rounds: int = 2
     bins: int = 128
     block: int = 1024
+    block_words: int = 512
+    nearest: int = 4
     texts_at_once: int = 2000
     pairs_at_once: int = 128
     broadcast_keys: int = 500_000
@@ -95,7 +98,7 @@ def labelled(found: np.ndarray) -> np.ndarray:
     ordered = found[order]
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     if len(starts) == len(found):
-        return found
+        return mixed(found)  # as those of texts that have some twice
     nth = np.arange(len(found)) - np.repeat(starts, np.diff(np.append(starts, len(found))))
     out = np.empty_like(found)
     out[order] = nth.astype(np.uint64)
@@ -248,46 +251,99 @@ def pairs_of(opened: DataFrame, near: Near) -> DataFrame:
     return small.unionByName(large).where(fit).select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
-def possible_pairs(near: Near):
+def word_sets(near: Near):
+    """A text's words, each with its number among its equals before it, as sorted hashes of 32 bits: texts have as many of these in common, at least, as they have words."""
+
+    @F.pandas_udf("binary")
+    def words(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: np.sort((labelled(word_hashes(text)) >> np.uint64(32)).astype(np.uint32)).tobytes())
+
+    return words
+
+
+def possible_pairs(near: Near, most: int):
+    """Pairs of a block that may be links by their words without their order; of each text and other class the `most` nearest (0: all). more: whether there are others."""
+
+    def in_common(side: pd.DataFrame):
+        held = [np.frombuffer(w, np.uint32) for w in side["words"]]
+        terms, owner = np.concatenate([np.empty(0, np.uint32), *held]), np.repeat(np.arange(len(held)), [len(w) for w in held])
+        order = np.argsort(terms, kind="stable")
+        terms, owner = terms[order], owner[order]
+
+        def counts(words: np.ndarray) -> np.ndarray:
+            at, sizes = np.searchsorted(terms, words), np.searchsorted(terms, words, side="right")
+            sizes -= at
+            every = np.repeat(at - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            return np.bincount(owner[every], minlength=len(held))
+
+        return counts
+
     def pairs(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("n", kind="stable")
         first, second = block[block["first"]], block[~block["first"]]
         ids, n, labels, main = (second[c].to_numpy() for c in ("id", "n", "label", "main"))
         x, y = (np.frombuffer(b"".join(side["tally"]), np.uint8).reshape(-1, near.bins) for side in (first, second))
-        ratio, found = near.similarity / (2 - near.similarity), []
-        for i, (id, size, label) in enumerate(first[["id", "n", "label"]].itertuples(index=False)):
+        ratio, found, counts = near.similarity / (2 - near.similarity), [], None
+        for i, (id, size, label, words) in enumerate(first[["id", "n", "label", "words"]].itertuples(index=False)):
             low, high = np.searchsorted(n, size * ratio - 1e-6), np.searchsorted(n, size / ratio + 1e-6, side="right")
             some = low + np.flatnonzero((labels[low:high] != label) & ((labels[low:high] == main[low:high]) | (ids[low:high] > id)))
             apart = (np.maximum(x[i], y[some]) - np.minimum(x[i], y[some])).sum(axis=1, dtype=np.int64)
-            others = ids[some[apart <= (1 - near.similarity) * (size + n[some]) + 1e-6]]
-            found.append(np.stack([np.minimum(id, others), np.maximum(id, others)]))
-        return pd.DataFrame(np.concatenate([np.empty((2, 0), np.int64), *found], axis=1).T, columns=["a", "b"])
+            some = some[apart <= (1 - near.similarity) * (size + n[some]) + 1e-6]
+            if not len(some):
+                continue
+            counts = counts or in_common(second)
+            both = size + n[some]
+            apart = both - 2 * counts(np.frombuffer(words, np.uint32))[some]
+            fit = apart <= (1 - near.similarity) * both + 1e-6
+            some, apart, left = some[fit], (apart / np.maximum(1, both))[fit], 0
+            if most and len(some) > most:
+                order = np.lexsort((ids[some], apart, labels[some]))
+                ordered = labels[some[order]]
+                starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+                nth = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+                some, left = some[order[nth < most]], int((nth >= most).sum())
+            found.append(np.stack([np.minimum(id, ids[some]), np.maximum(id, ids[some]), np.full(len(some), left > 0, np.int64)]))
+        return pd.DataFrame(np.concatenate([np.empty((3, 0), np.int64), *found], axis=1).T, columns=["a", "b", "more"]).astype({"more": bool})
 
     return pairs
 
 
-def pairs_left(large: DataFrame, labels: DataFrame | None, reps: DataFrame, near: Near) -> DataFrame:
-    """Different pairs a < b (ids) of one bucket and different labels whose lengths and counts of words leave a link possible. A pair has a text outside its bucket's largest class: such texts meet all others of the bucket, in blocks."""
-    held = labelled_members(large, labels)
-    counted = held.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size")).groupBy("bucket").agg(F.sum("size").alias("size"), F.max(F.struct("size", "label")).alias("most")).where("most.size < size")
-    parts = counted.select("bucket", F.col("most.label").alias("main"), F.ceil((F.col("size") - F.col("most.size")) / near.block).alias("parts"), F.ceil(F.col("size") / near.block).alias("others"))
-    held = cut(held.select("bucket", "id", "n", "label").join(parts, "bucket").join(reps.select("id", "tally"), "id"))
-    columns = ["id", "n", "label", "main", "tally"]
+def several_labels(held: DataFrame) -> DataFrame:
+    """bucket, id, n, label of the members of buckets that hold several labels."""
+    several = held.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
+    return held.join(several, "bucket", "left_semi").select("bucket", "id", "n", "label")
+
+
+def pairs_left(held: DataFrame, words: DataFrame, near: Near, most: int) -> DataFrame:
+    """Different pairs a < b (ids) of one bucket and different labels whose words leave a link possible; of each text and other label the `most` nearest of a block, and whether there are more (0: all). A pair has a text outside its bucket's largest class: such texts meet all others of the bucket, in blocks."""
+    counted = held.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"))
+    counted = counted.groupBy("bucket").agg(F.sum("size").alias("size"), F.sum("n").alias("n"), F.max(F.struct("size", "label", "n")).alias("most")).where("most.size < size")
+    # a side holds at most so many texts, and words, on average
+    blocks = lambda texts, n: F.greatest(F.ceil(texts / near.block), F.ceil(n / (near.block * near.block_words)))
+    main = F.col("most.label").alias("main")
+    parts = counted.select("bucket", main, blocks(F.col("size") - F.col("most.size"), F.col("n") - F.col("most.n")).alias("parts"), blocks(F.col("size"), F.col("n")).alias("others"))
+    held = cut(held.join(parts, "bucket").join(words, "id"))
+    columns = ["id", "n", "label", "main", "tally", "words"]
     part = lambda of: F.pmod(F.xxhash64("id"), of)
     every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
     first = held.where("label <> main").select("bucket", part("parts").alias("part"), every("others").alias("other"), F.lit(True).alias("first"), *columns)
     second = held.select("bucket", every("parts").alias("part"), part("others").alias("other"), F.lit(False).alias("first"), *columns)
-    return first.unionByName(second).groupBy("bucket", "part", "other").applyInPandas(possible_pairs(near), fields("a long, b long")).distinct()
+    return first.unionByName(second).groupBy("bucket", "part", "other").applyInPandas(possible_pairs(near, most), fields("a long, b long, more boolean")).groupBy("a", "b").agg(F.bool_or("more").alias("more"))
+
+
+def texts_of(ids: DataFrame, reps: DataFrame, source: DataFrame, near: Near) -> DataFrame:
+    """id, text of these ids, repeated or not."""
+    wanted = cut(ids.distinct().join(reps.select("id", "t"), "id"))
+    if wanted.count() <= near.broadcast_keys:  # else the texts are dealt by their keys
+        wanted = F.broadcast(wanted)
+    return stored(source.select("t", "text").join(wanted, "t").groupBy("id").agg(F.first("text").alias("text")), "texts")
 
 
 def links_of(pairs: DataFrame, reps: DataFrame, source: DataFrame, near: Near) -> DataFrame:
     """The pairs of ids that the alignment confirms."""
     a, b = (reps.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("tally").alias(f"t{x}")) for x in "ab")
     likely = cut(pairs.join(a, "a").join(b, "b").where(plausible(near)("ta", "tb", F.col("na") + F.col("nb"))).select("a", "b"))
-    wanted = cut(likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct().join(reps.select("id", "t"), "id"))
-    if wanted.count() <= near.broadcast_keys:  # else the texts are dealt by their keys
-        wanted = F.broadcast(wanted)
-    texts = stored(source.select("t", "text").join(wanted, "t").groupBy("id").agg(F.first("text").alias("text")), "texts")
+    texts = texts_of(likely.select(F.col("a").alias("id")).union(likely.select("b")), reps, source, near)
     a, b = (texts.select(F.col("id").alias(x), F.col("text").alias(f"w{x}")) for x in "ab")
     with settings(pairs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(near.pairs_at_once)}):  # two whole texts a row
         return cut(likely.join(a, "a").join(b, "b").where(verifying(near)("wa", "wb")).select("a", "b"))
@@ -367,14 +423,27 @@ def tied_texts(reps: DataFrame, source: DataFrame, near: Near) -> DataFrame | No
         if not pairs.isEmpty():
             links = links_of(pairs, reps, source, near)
             labels = labels if links.isEmpty() else joined_by(labels, links)
-        left = untied(opened.where(~F.col("whole")), labels).withColumn("turns", F.col("turns") + 1)
+        left = cut(untied(opened.where(~F.col("whole")), labels).withColumn("turns", F.col("turns") + 1))
+        if not turn:  # the others are of their hub's class, and stay so
+            large = cut(large.join(left.select("bucket").distinct(), "bucket", "left_semi"))
         parts = split(left.where(F.col("turns") >= near.rounds), reps, near)
         members, turn = cut(left.where(F.col("turns") < near.rounds).select("bucket", "id", "n", "depth", "turns").unionByName(parts)), turn + 1
-    if large.isEmpty():
-        return labels
-    pairs = cut(pairs_left(large, labels, reps, near).join(tested, ["a", "b"], "left_anti"))
-    links = None if pairs.isEmpty() else links_of(pairs, reps, source, near)
-    return labels if links is None or links.isEmpty() else joined_by(labels, links)
+    held = words = None
+    for most in () if large.isEmpty() else (near.nearest, 0):
+        # once more by the classes of now, of which a label is a text
+        held = cut(several_labels(labelled_members(large, labels) if held is None else with_labels(held.withColumnRenamed("label", "was"), labels, "was").drop("was")))
+        if words is None:
+            texts = texts_of(held.select("id"), reps, source, near).select("id", word_sets(near)("text").alias("words"))
+            words = stored(texts.join(reps.select("id", "tally"), "id"), "words")
+        found = cut(pairs_left(held, words, near, most))
+        pairs = cut(found.select("a", "b").join(tested, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            tested = cut(tested.unionByName(pairs))
+            links = links_of(pairs, reps, source, near)
+            labels = labels if links.isEmpty() else joined_by(labels, links)
+        if found.where("more").isEmpty():
+            break
+    return labels
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", near: Near = Near()) -> DataFrame:

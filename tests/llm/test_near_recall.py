@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from millrace.llm import op2_order_minhash as near_dups
@@ -44,6 +45,13 @@ def test_links_share_a_band(similarity, change, each):
     assert found >= 0.9 * links
 
 
+def test_a_repeated_passage_leaves_the_other_labels_alone():
+    once = near_dups.word_hashes(" ".join(WORDS[:50]))
+    twice = np.concatenate([once, once[:6]])
+    for of in (lambda x: x, lambda x: near_dups.kmers(x, 5)):
+        assert set(near_dups.labelled(of(once)).tolist()) < set(near_dups.labelled(of(twice)).tolist())
+
+
 def classes_by_brute_force(texts, similarity=0.8):
     hashes = [near_dups.word_hashes(t) for t in texts]
     parent = list(range(len(texts)))
@@ -97,6 +105,38 @@ def test_no_link_of_a_large_bucket_is_lost(spark, block):
     assert set(map(frozenset, groups.values())) == merged_by_brute_force(texts, near)
 
 
+def test_a_text_meets_the_nearest_of_a_class_first(spark, monkeypatch):
+    """Texts at the edge of a group of copies have links to few or many of it: one ties them, and those that have none are told by their words, not by alignments with all of the group."""
+    rng, near, aligned, links_of = random.Random(4), near_dups.Near(bands=16, small=4, rounds=1), [], near_dups.links_of
+    base = rng.choices(WORDS, k=60)
+    texts = [" ".join(replaced(base, 0.06 if i < 150 else 0.16, rng)) for i in range(190)]
+    monkeypatch.setattr(near_dups, "links_of", lambda pairs, *rest: aligned.append(pairs.count()) or links_of(pairs, *rest))
+    groups = defaultdict(set)
+    for r in near_dups.classes(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", near=near).collect():
+        groups[r.class_id].add(r.id)
+    assert set(map(frozenset, groups.values())) == merged_by_brute_force(texts, near)
+    assert aligned[-1] <= 10 * 40
+
+
+@pytest.mark.parametrize("most", [0, 2])
+def test_pairs_of_a_block(most):
+    """All pairs of texts that have enough words in common, or the nearest of each class and word of the others."""
+    rng, near = random.Random(9), near_dups.Near()
+    base = rng.choices(WORDS, k=40) * 2
+    hashes = [near_dups.word_hashes(" ".join(replaced(base, 0.1 * (i % 3), rng))) for i in range(30)]
+    sets = [np.sort((near_dups.labelled(h) >> np.uint64(32)).astype(np.uint32)) for h in hashes]
+    side = pd.DataFrame({"id": range(30), "n": [len(h) for h in hashes], "label": [i // 6 for i in range(30)], "main": 0, "tally": [near_dups.tally(h, near.bins) for h in hashes], "words": [s.tobytes() for s in sets]})
+    got = near_dups.possible_pairs(near, most)(pd.concat([side[side["label"] > 0].assign(first=True), side.assign(first=False)]))
+    want, more = set(), False
+    for i in range(6, 30):
+        for label in range(5):
+            fit = [(160 - 2 * len(np.intersect1d(sets[i], sets[j])), j) for j in range(6 * label, 6 * label + 6) if label != i // 6 and (label == 0 or j > i)]
+            fit = sorted(x for x in fit if x[0] <= 0.2 * 160)
+            want |= {(min(i, j), max(i, j)) for _, j in (fit[:most] if most else fit)}
+            more |= bool(most) and len(fit) > most
+    assert set(zip(got["a"], got["b"], strict=True)) == want and got["more"].any() == more == bool(most)
+
+
 def test_texts_that_share_a_passage_are_no_copies_and_do_not_hide_them(spark):
     """Half of each text is one passage: its bands hold all texts, which no round ties; the copies among them are found."""
     rng = random.Random(5)
