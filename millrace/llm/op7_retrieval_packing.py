@@ -75,6 +75,22 @@ def encoding(ranks: bytes, pattern: str, added: dict[str, int]) -> tiktoken.Enco
     return _encodings[key]
 
 
+def rarest(ids: np.ndarray) -> int:
+    """The two greatest ids as one number, the greatest first; a single id twice, 0 for none."""
+    if not len(ids):
+        return 0
+    first = int(ids.max())
+    others = ids[ids < first]
+    return first << 16 | (int(others.max()) if len(others) else first)
+
+
+def different(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Each id once, in no order. places: a number for each id there can be, written over."""
+    at = np.arange(len(ids), dtype=places.dtype)
+    places[ids] = at
+    return ids[places[ids] == at]
+
+
 def tokenized(docs: DataFrame, ranks: bytes, text: str, keys: tuple[str, ...], window: int, pattern: str = public_tokenizers.PATTERN, added: dict[str, int] | None = None) -> DataFrame:
     """keys (an array of strings), ids (two bytes each, the last is END), n, rest (ids that fill no window), place (what shards are ordered by: the rarest two ids of the rest) and salt."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
@@ -87,11 +103,9 @@ def tokenized(docs: DataFrame, ranks: bytes, text: str, keys: tuple[str, ...], w
             for at in range(0, len(batch), 1000):
                 rows = []
                 for text in batch.iloc[at : at + 1000]:
-                    found = coder.encode(text, allowed_special="all") if any(x in text for x in added) else coder.encode_ordinary(text)
-                    ids = np.array([*found, END], "<u2")
+                    ids = np.append(coder.encode_to_numpy(text, allowed_special="all"), END).astype("<u2")
                     tail = ids[len(ids) - len(ids) % window :]
-                    rare = np.unique(tail)[-2:].tolist() or [0]
-                    rows.append((ids.tobytes(), len(ids), len(tail), rare[-1] << 16 | rare[0], zlib.crc32(tail.tobytes())))
+                    rows.append((ids.tobytes(), len(ids), len(tail), rarest(tail), zlib.crc32(tail.tobytes())))
                 yield pd.DataFrame(rows, columns=["ids", "n", "rest", "place", "salt"])
 
     held = F.array(*[F.col(f"`{c}`").cast("string") for c in keys])
@@ -102,10 +116,10 @@ def frequencies(tokens: DataFrame, size: int) -> np.ndarray:
     """Documents that have each id. Every task sums its own documents; one vector of the vocabulary's length comes to the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size, np.int64)
+        total, places = np.zeros(size, np.int64), np.empty(size, np.int32)
         for batch in batches:
             for at in range(0, len(batch), 1000):
-                some = [np.unique(np.frombuffer(raw, "<u2")) for raw in batch["ids"].iloc[at : at + 1000]]
+                some = [different(np.frombuffer(raw, "<u2"), places) for raw in batch["ids"].iloc[at : at + 1000]]
                 total += np.bincount(np.concatenate(some), minlength=size)
         some = np.flatnonzero(total)
         yield pd.DataFrame({"id": some, "n": total[some]})
@@ -130,7 +144,7 @@ class Index:
         order = np.argsort(terms, kind="stable")
         _, starts, held = np.unique(terms[order], return_index=True, return_counts=True)
         self.starts, self.stops, self.live = starts, starts + held, n
-        self.owner, self.weight = owner[order], weight[order]
+        self.owner, self.weight = owner[order].astype(np.int64), weight[order].astype(np.float64)  # as bincount takes them, so that it copies nothing
         slot = np.empty(len(terms), np.int64)
         slot[order] = np.repeat(np.arange(len(starts)), held)
         useful = np.flatnonzero(held[slot] > 1)  # an id that no other document of the shard has finds nothing

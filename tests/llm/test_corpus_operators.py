@@ -289,6 +289,16 @@ def test_added_tokens_have_the_ids_of_the_library(spark):
         assert ids == [*library.encode(t, add_special_tokens=False).ids, 0] and all(r.doc_tokens == len(ids) for r in found[i]), t
 
 
+def test_different_and_rarest_ids():
+    rng, places = np.random.default_rng(7), np.full(60, 5, np.int32)
+    for n in (0, 1, 2, 3, 50, 400):
+        for top in (1, 2, 60):
+            ids = rng.integers(0, top, n).astype("<u2")
+            kinds = np.unique(ids).tolist()
+            assert sorted(op7_retrieval_packing.different(ids, places).tolist()) == kinds
+            assert op7_retrieval_packing.rarest(ids) == (kinds[-1] << 16 | kinds[-2:][0] if kinds else 0)
+
+
 def test_neighbours_by_brute_force():
     rng, packing = np.random.default_rng(1), op7_retrieval_packing.Packing()
     docs = [np.append(rng.integers(100 * (d % 4) + 1, 100 * (d % 4) + 60, rng.integers(1, 90)), 0).astype("<u2") for d in range(200)]
