@@ -98,11 +98,11 @@ def labelled(found: np.ndarray) -> np.ndarray:
     ordered = found[order]
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     if len(starts) == len(found):
-        return mixed(found)  # as those of texts that have some twice
+        return found
     nth = np.arange(len(found)) - np.repeat(starts, np.diff(np.append(starts, len(found))))
     out = np.empty_like(found)
     out[order] = nth.astype(np.uint64)
-    return mixed(found + out * np.uint64(0xC2B2AE3D27D4EB4F))
+    return np.where(out > 0, mixed(found + out * np.uint64(0xC2B2AE3D27D4EB4F)), found)  # the first as in texts that have none twice
 
 
 @functools.lru_cache(4)
