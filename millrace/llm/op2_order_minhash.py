@@ -20,9 +20,10 @@ Candidates are worked off in rounds, so that neither a large group of copies nor
   the bucket. A group of copies closes at once. The texts that no link ties to it choose their own among themselves; what is left after
   `rounds` is split by the texts' next sketches, each round again; a part that no sketch splits gives all its pairs. So most links are found at few pairs.
 - At the end every larger bucket that still holds several classes is gone through whole: each two of its texts that are not of one class are compared by lengths and
-  words without their order, in blocks of bounded size that are dealt over tasks, and aligned if these leave a link possible. A text first meets the `nearest` of each other class by these words, as
-  one link ties it to all of them; what no link has tied by then meets all the rest. No two texts that agree in a band are left out, unless they are of one class already. The time of the blocks grows with
-  the square of such a bucket, memory does not; all pairs are only made of texts that have no link to a class.
+  words without their order, in blocks of bounded size that are dealt over tasks, and aligned if these leave a link possible. The texts outside a bucket's largest class meet each other by the bucket; the largest
+  class they meet once, in however many buckets they met it: a group of copies shares nearly all of its buckets, and its texts would else be read anew for each. There a pair must agree in a band.
+  A text first meets the `nearest` of each other class by these words, as one link ties it to all of them; where there are more and no link has tied it by then, it meets the whole class.
+  No two texts that agree in a band are left out, unless they are of one class already. The time of the blocks grows with the square of the texts of a bucket outside its largest class, memory does not.
 - No pair is aligned twice. A pair whose lengths, or whose counts of words by 128 hash values, exclude the similarity is not aligned.
 
 Defined results: a null text is an empty one, and all texts without words are copies of each other; a text of fewer than five
@@ -262,7 +263,7 @@ def word_sets(near: Near):
 
 
 def possible_pairs(near: Near, most: int):
-    """Pairs of a block that may be links by their words without their order; of each text and other class the `most` nearest (0: all). more: whether there are others."""
+    """Pairs of a block that may be links by their words without their order, and agree in a band if bands are given; of each text and other class the `most` nearest (0: all). first: whether a row is of the first side (null: of both). Two texts of the same sides meet once, by their ids; a text of the second side whose label is main meets all of the first. more: whether the text has others of that label."""
 
     def in_common(side: pd.DataFrame):
         held = [np.frombuffer(w, np.uint32) for w in side["words"]]
@@ -280,9 +281,11 @@ def possible_pairs(near: Near, most: int):
 
     def pairs(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("n", kind="stable")
-        first, second = block[block["first"]], block[~block["first"]]
+        first, second = block[block["first"].ne(False)], block[block["first"].ne(True)]
         ids, n, labels, main = (second[c].to_numpy() for c in ("id", "n", "label", "main"))
         x, y = (np.frombuffer(b"".join(side["tally"]), np.uint8).reshape(-1, near.bins) for side in (first, second))
+        banded = "bands" in block and block["bands"].notna().all()
+        us, them = (np.stack(side["bands"]) if banded and len(side) else None for side in (first, second))
         ratio, found, counts = near.similarity / (2 - near.similarity), [], None
         for i, (id, size, label, words) in enumerate(first[["id", "n", "label", "words"]].itertuples(index=False)):
             low, high = np.searchsorted(n, size * ratio - 1e-6), np.searchsorted(n, size / ratio + 1e-6, side="right")
@@ -295,15 +298,21 @@ def possible_pairs(near: Near, most: int):
             both = size + n[some]
             apart = both - 2 * counts(np.frombuffer(words, np.uint32))[some]
             fit = apart <= (1 - near.similarity) * both + 1e-6
-            some, apart, left = some[fit], (apart / np.maximum(1, both))[fit], 0
+            some, apart = some[fit], (apart / np.maximum(1, both))[fit]
+            if banded:
+                agree = (them[some] == us[i]).any(axis=1)
+                some, apart = some[agree], apart[agree]
+            more = np.zeros(len(some), bool)
             if most and len(some) > most:
                 order = np.lexsort((ids[some], apart, labels[some]))
                 ordered = labels[some[order]]
                 starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
                 nth = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-                some, left = some[order[nth < most]], int((nth >= most).sum())
-            found.append(np.stack([np.minimum(id, ids[some]), np.maximum(id, ids[some]), np.full(len(some), left > 0, np.int64)]))
-        return pd.DataFrame(np.concatenate([np.empty((3, 0), np.int64), *found], axis=1).T, columns=["a", "b", "more"]).astype({"more": bool})
+                beyond = labels[some[order[nth >= most]]]
+                some = some[order[nth < most]]
+                more = np.isin(labels[some], beyond)
+            found.append(np.stack([np.minimum(id, ids[some]), np.maximum(id, ids[some]), np.full(len(some), id), labels[some], more]))
+        return pd.DataFrame(np.concatenate([np.empty((5, 0), np.int64), *found], axis=1).T, columns=["a", "b", "text", "label", "more"]).astype({"more": bool})
 
     return pairs
 
@@ -314,21 +323,47 @@ def several_labels(held: DataFrame) -> DataFrame:
     return held.join(several, "bucket", "left_semi").select("bucket", "id", "n", "label")
 
 
-def pairs_left(held: DataFrame, words: DataFrame, near: Near, most: int) -> DataFrame:
-    """Different pairs a < b (ids) of one bucket and different labels whose words leave a link possible; of each text and other label the `most` nearest of a block, and whether there are more (0: all). A pair has a text outside its bucket's largest class: such texts meet all others of the bucket, in blocks."""
+def by_bucket(held: DataFrame, near: Near) -> tuple[DataFrame, DataFrame]:
+    """For members of buckets of several labels: those outside their bucket's largest class (main), where these have several labels, with the number of their parts; and, once for each, the texts that meet a class so (first) and those of the class."""
     counted = held.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"))
-    counted = counted.groupBy("bucket").agg(F.sum("size").alias("size"), F.sum("n").alias("n"), F.max(F.struct("size", "label", "n")).alias("most")).where("most.size < size")
-    # a side holds at most so many texts, and words, on average
-    blocks = lambda texts, n: F.greatest(F.ceil(texts / near.block), F.ceil(n / (near.block * near.block_words)))
-    main = F.col("most.label").alias("main")
-    parts = counted.select("bucket", main, blocks(F.col("size") - F.col("most.size"), F.col("n") - F.col("most.n")).alias("parts"), blocks(F.col("size"), F.col("n")).alias("others"))
-    held = cut(held.join(parts, "bucket").join(words, "id"))
-    columns = ["id", "n", "label", "main", "tally", "words"]
-    part = lambda of: F.pmod(F.xxhash64("id"), of)
-    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
-    first = held.where("label <> main").select("bucket", part("parts").alias("part"), every("others").alias("other"), F.lit(True).alias("first"), *columns)
-    second = held.select("bucket", every("parts").alias("part"), part("others").alias("other"), F.lit(False).alias("first"), *columns)
-    return first.unionByName(second).groupBy("bucket", "part", "other").applyInPandas(possible_pairs(near, most), fields("a long, b long, more boolean")).groupBy("a", "b").agg(F.bool_or("more").alias("more"))
+    counted = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), F.sum("size").alias("size"), F.sum("n").alias("words"), F.max(F.struct("size", "label", "n")).alias("most"))
+    shape = counted.select("bucket", "labels", F.col("most.label").alias("main"), blocks(F.col("size") - F.col("most.size"), F.col("words") - F.col("most.n"), near).alias("parts"))
+    held = cut(held.join(shape, "bucket"))
+    among = held.where("label <> main and labels > 2").select("bucket", "main", "parts", "id", "n", "label")
+    return among, held.select(F.col("main").alias("class"), (F.col("label") != F.col("main")).alias("first"), "id", "n", "label").distinct()
+
+
+def blocks(texts: Column, n: Column, near: Near) -> Column:
+    """Parts of a side, which hold at most so many texts, and words, on average."""
+    return F.greatest(F.lit(1), F.ceil(texts / near.block), F.ceil(n / (near.block * near.block_words)))
+
+
+def pairs_left(among: DataFrame | None, against: DataFrame, words: DataFrame, near: Near, most: int) -> DataFrame:
+    """Different pairs a < b (ids) of different labels whose words leave a link possible: of the texts of a bucket (among), and of those that meet a class with the class (against), where they agree in a band. Of each text and other label these are the `most` nearest of a block (0: all); more: whether text has others of that label."""
+    part = lambda of: F.pmod(F.xxhash64("id"), F.col(of))
+    every = lambda of: F.sequence(F.lit(0).cast("long"), F.col(of) - 1)
+    sides = against.groupBy("class").pivot("first", [True, False]).agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n")).where("true_size > 0 and false_size > 0")
+    sides = sides.select("class", blocks(F.col("true_size"), F.col("true_n"), near).alias("parts"), blocks(F.col("false_size"), F.col("false_n"), near).alias("others"))
+    met = against.join(sides, "class")
+    # a text of the first side meets all parts of the other
+    other = F.transform(F.when(F.col("first"), every("others")).otherwise(every("parts")), lambda x: F.when(F.col("first"), F.struct(part("parts").alias("part"), x.alias("other"), F.lit(True).alias("first"))).otherwise(F.struct(x.alias("part"), part("others").alias("other"), F.lit(False).alias("first"))))
+    rows = met.select(F.col("class").alias("at"), F.lit(True).alias("by_class"), F.col("class").alias("main"), "id", "n", "label", other.alias("dealt"))
+    if among is not None:
+        # each two parts of a bucket meet once, and each part meets itself
+        two = F.transform(every("parts"), lambda x: F.struct(F.least(part("parts"), x).alias("part"), F.greatest(part("parts"), x).alias("other"), F.when(part("parts") != x, part("parts") < x).alias("first")))
+        rows = rows.unionByName(among.select(F.col("bucket").alias("at"), F.lit(False).alias("by_class"), "main", "id", "n", "label", two.alias("dealt")))
+    rows = rows.join(words, "id").withColumn("bands", F.when(F.col("by_class"), F.col("bands"))).withColumn("d", F.explode("dealt"))
+    main = F.when(F.col("d.first").eqNullSafe(False), F.col("label")).otherwise(F.col("main")).alias("main")  # two parts have no text in common
+    rows = rows.select("at", "by_class", "d.part", "d.other", "d.first", "id", "n", "label", main, "tally", "words", "bands")
+    return rows.groupBy("at", "by_class", "part", "other").applyInPandas(possible_pairs(near, most), fields("a long, b long, text long, label long, more boolean"))
+
+
+def kinds_of(ids: DataFrame, reps: DataFrame, near: Near, *columns: str) -> DataFrame:
+    """id and columns of the texts with these ids, repeated or not."""
+    wanted = cut(ids.distinct())
+    if wanted.count() <= near.broadcast_keys:  # else all texts are dealt by their ids
+        wanted = F.broadcast(wanted)
+    return cut(reps.select("id", *columns).join(wanted, "id"))
 
 
 def texts_of(ids: DataFrame, reps: DataFrame, source: DataFrame, near: Near) -> DataFrame:
@@ -428,21 +463,33 @@ def tied_texts(reps: DataFrame, source: DataFrame, near: Near) -> DataFrame | No
             large = cut(large.join(left.select("bucket").distinct(), "bucket", "left_semi"))
         parts = split(left.where(F.col("turns") >= near.rounds), reps, near)
         members, turn = cut(left.where(F.col("turns") < near.rounds).select("bucket", "id", "n", "depth", "turns").unionByName(parts)), turn + 1
-    held = words = None
-    for most in () if large.isEmpty() else (near.nearest, 0):
-        # once more by the classes of now, of which a label is a text
-        held = cut(several_labels(labelled_members(large, labels) if held is None else with_labels(held.withColumnRenamed("label", "was"), labels, "was").drop("was")))
-        if words is None:
-            texts = texts_of(held.select("id"), reps, source, near).select("id", word_sets(near)("text").alias("words"))
-            words = stored(texts.join(reps.select("id", "tally"), "id"), "words")
-        found = cut(pairs_left(held, words, near, most))
-        pairs = cut(found.select("a", "b").join(tested, ["a", "b"], "left_anti"))
+    return labels if large.isEmpty() else tied_in_blocks(large, labels, tested, reps, source, near)
+
+
+def tied_in_blocks(large: DataFrame, labels: DataFrame | None, tested: DataFrame, reps: DataFrame, source: DataFrame, near: Near) -> DataFrame | None:
+    """labels after the larger buckets that still hold several have been gone through whole. tested: pairs that were aligned before."""
+    held = cut(several_labels(labelled_members(large, labels)))
+    if held.isEmpty():
+        return labels
+    among, against = by_bucket(held, near)
+    against = cut(against)
+    texts = texts_of(held.select("id"), reps, source, near).select("id", word_sets(near)("text").alias("words"))
+    words = stored(texts.join(kinds_of(held.select("id"), reps, near, "tally", "bands"), "id"), "words")
+    for most in (near.nearest, 0):
+        found = cut(pairs_left(among, against, words, near, most))
+        pairs = cut(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             tested = cut(tested.unionByName(pairs))
             links = links_of(pairs, reps, source, near)
             labels = labels if links.isEmpty() else joined_by(labels, links)
-        if found.where("more").isEmpty():
+        # these meet the whole class: a label is a text, so that it tells by its own label whether a link has tied it
+        met = found.where("more").select("text", F.col("label").alias("class")).distinct()
+        left = cut(with_labels(with_labels(met, labels, "text", "x"), labels, "class", "y").where("x <> y").select(F.col("text").alias("id"), "class"))
+        if left.isEmpty():
             break
+        texts = held.select("id", "n", "label").distinct()
+        second = texts.join(left.select(F.col("class").alias("label")).distinct(), "label", "left_semi").select(F.col("label").alias("class"), F.lit(False).alias("first"), "id", "n", "label")
+        among, against = None, cut(texts.join(left, "id").select("class", F.lit(True).alias("first"), "id", "n", "label").unionByName(second))
     return labels
 
 

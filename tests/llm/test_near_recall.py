@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -118,6 +119,30 @@ def test_a_text_meets_the_nearest_of_a_class_first(spark, monkeypatch):
     assert aligned[-1] <= 10 * 40
 
 
+def test_a_group_of_copies_is_not_read_anew_for_each_bucket(spark, monkeypatch, tmp_path):
+    """Texts at the edge of a group of copies share many buckets with it: its texts come to the blocks once."""
+    rng, near, blocks = random.Random(4), near_dups.Near(bands=16, small=4, rounds=1), near_dups.possible_pairs
+    base = rng.choices(WORDS, k=60)
+    texts = [" ".join(replaced(base, 0.06 if i < 150 else 0.16, rng)) for i in range(190)]
+
+    def counted(near, most):
+        pairs = blocks(near, most)
+
+        def seen(block):
+            (tmp_path / uuid.uuid4().hex).write_text(str(len(block)))
+            return pairs(block)
+
+        return seen
+
+    monkeypatch.setattr(near_dups, "possible_pairs", counted)
+    groups = defaultdict(set)
+    for r in near_dups.classes(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", near=near).collect():
+        groups[r.class_id].add(r.id)
+    assert set(map(frozenset, groups.values())) == merged_by_brute_force(texts, near)
+    rows = sum(int(f.read_text()) for f in tmp_path.iterdir())
+    assert 0 < rows <= 2 * len(texts), rows
+
+
 @pytest.mark.parametrize("most", [0, 2])
 def test_pairs_of_a_block(most):
     """All pairs of texts that have enough words in common, or the nearest of each class and word of the others."""
