@@ -317,20 +317,12 @@ def possible_pairs(near: Near, most: int):
     return pairs
 
 
-def several_labels(held: DataFrame) -> DataFrame:
-    """bucket, id, n, label of the members of buckets that hold several labels."""
-    several = held.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-    return held.join(several, "bucket", "left_semi").select("bucket", "id", "n", "label")
-
-
-def by_bucket(held: DataFrame, near: Near) -> tuple[DataFrame, DataFrame]:
-    """For members of buckets of several labels: those outside their bucket's largest class (main), where these have several labels, with the number of their parts; and, once for each, the texts that meet a class so (first) and those of the class."""
-    counted = held.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"))
-    counted = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), F.sum("size").alias("size"), F.sum("n").alias("words"), F.max(F.struct("size", "label", "n")).alias("most"))
+def by_bucket(members: DataFrame, near: Near) -> DataFrame:
+    """bucket, id, n, label of the members of buckets that hold several labels, with labels (how many), main (the largest class) and the number of parts of the texts outside it."""
+    counted = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"))
+    counted = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), F.sum("size").alias("size"), F.sum("n").alias("words"), F.max(F.struct("size", "label", "n")).alias("most")).where("labels > 1")
     shape = counted.select("bucket", "labels", F.col("most.label").alias("main"), blocks(F.col("size") - F.col("most.size"), F.col("words") - F.col("most.n"), near).alias("parts"))
-    held = cut(held.join(shape, "bucket"))
-    among = held.where("label <> main and labels > 2").select("bucket", "main", "parts", "id", "n", "label")
-    return among, held.select(F.col("main").alias("class"), (F.col("label") != F.col("main")).alias("first"), "id", "n", "label").distinct()
+    return members.join(shape, "bucket")
 
 
 def blocks(texts: Column, n: Column, near: Near) -> Column:
@@ -376,9 +368,11 @@ def texts_of(ids: DataFrame, reps: DataFrame, source: DataFrame, near: Near) ->
 
 def links_of(pairs: DataFrame, reps: DataFrame, source: DataFrame, near: Near) -> DataFrame:
     """The pairs of ids that the alignment confirms."""
-    a, b = (reps.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("tally").alias(f"t{x}")) for x in "ab")
+    both = lambda of: of.select(F.col("a").alias("id")).union(of.select("b"))
+    held = kinds_of(both(pairs), reps, near, "n", "t", "tally")
+    a, b = (held.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("tally").alias(f"t{x}")) for x in "ab")
     likely = cut(pairs.join(a, "a").join(b, "b").where(plausible(near)("ta", "tb", F.col("na") + F.col("nb"))).select("a", "b"))
-    texts = texts_of(likely.select(F.col("a").alias("id")).union(likely.select("b")), reps, source, near)
+    texts = texts_of(both(likely), held, source, near)
     a, b = (texts.select(F.col("id").alias(x), F.col("text").alias(f"w{x}")) for x in "ab")
     with settings(pairs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(near.pairs_at_once)}):  # two whole texts a row
         return cut(likely.join(a, "a").join(b, "b").where(verifying(near)("wa", "wb")).select("a", "b"))
@@ -436,7 +430,7 @@ def split(members: DataFrame, reps: DataFrame, near: Near) -> DataFrame:
     """The buckets' members by their next two sketches, or by three or four where the bucket is large; which come next is chosen by the bucket's hash. A part of one text has no pair and goes."""
     more = 2 + (F.col("size") > 4 * near.small).cast("int") + (F.col("size") > 16 * near.small).cast("int")
     start = (F.pmod(F.xxhash64("bucket"), F.lit(near.bands)) + 1).cast("int")
-    found = members.withColumn("more", more).join(reps.select("id", "bands"), "id")
+    found = members.withColumn("more", more).join(kinds_of(members.select("id"), reps, near, "bands"), "id")
     found = found.withColumn("bucket", F.xxhash64("bucket", F.slice(F.concat("bands", "bands"), start, F.col("more"))))
     parts = cut(found.select("bucket", "id", "n", (F.col("depth") + F.col("more")).alias("depth"), F.lit(near.rounds - 1).alias("turns")))
     several = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
@@ -461,18 +455,20 @@ def tied_texts(reps: DataFrame, source: DataFrame, near: Near) -> DataFrame | No
         left = cut(untied(opened.where(~F.col("whole")), labels).withColumn("turns", F.col("turns") + 1))
         if not turn:  # the others are of their hub's class, and stay so
             large = cut(large.join(left.select("bucket").distinct(), "bucket", "left_semi"))
-        parts = split(left.where(F.col("turns") >= near.rounds), reps, near)
-        members, turn = cut(left.where(F.col("turns") < near.rounds).select("bucket", "id", "n", "depth", "turns").unionByName(parts)), turn + 1
+        members, over, turn = left.where(F.col("turns") < near.rounds).select("bucket", "id", "n", "depth", "turns"), left.where(F.col("turns") >= near.rounds), turn + 1
+        if not over.isEmpty():
+            members = cut(members.unionByName(split(over, reps, near)))
     return labels if large.isEmpty() else tied_in_blocks(large, labels, tested, reps, source, near)
 
 
 def tied_in_blocks(large: DataFrame, labels: DataFrame | None, tested: DataFrame, reps: DataFrame, source: DataFrame, near: Near) -> DataFrame | None:
     """labels after the larger buckets that still hold several have been gone through whole. tested: pairs that were aligned before."""
-    held = cut(several_labels(labelled_members(large, labels)))
+    members = cut(with_labels(large.select("bucket", "id", "n"), labels))  # written, as it is read twice
+    held = cut(by_bucket(members, near))
     if held.isEmpty():
         return labels
-    among, against = by_bucket(held, near)
-    against = cut(against)
+    among = held.where("label <> main and labels > 2").select("bucket", "main", "parts", "id", "n", "label")  # these meet each other, and once their buckets' classes
+    against = cut(held.select(F.col("main").alias("class"), (F.col("label") != F.col("main")).alias("first"), "id", "n", "label").distinct())
     texts = texts_of(held.select("id"), reps, source, near).select("id", word_sets(near)("text").alias("words"))
     words = stored(texts.join(kinds_of(held.select("id"), reps, near, "tally", "bands"), "id"), "words")
     for most in (near.nearest, 0):

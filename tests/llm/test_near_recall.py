@@ -120,8 +120,8 @@ def test_a_text_meets_the_nearest_of_a_class_first(spark, monkeypatch):
 
 
 def test_a_group_of_copies_is_not_read_anew_for_each_bucket(spark, monkeypatch, tmp_path):
-    """Texts at the edge of a group of copies share many buckets with it: its texts come to the blocks once."""
-    rng, near, blocks = random.Random(4), near_dups.Near(bands=16, small=4, rounds=1), near_dups.possible_pairs
+    """Texts at the edge of a group of copies share many buckets with it: its texts come to the blocks once, and no split begins without texts."""
+    rng, near, blocks, split, empty = random.Random(4), near_dups.Near(bands=16, small=4, rounds=1), near_dups.possible_pairs, near_dups.split, []
     base = rng.choices(WORDS, k=60)
     texts = [" ".join(replaced(base, 0.06 if i < 150 else 0.16, rng)) for i in range(190)]
 
@@ -135,12 +135,14 @@ def test_a_group_of_copies_is_not_read_anew_for_each_bucket(spark, monkeypatch,
         return seen
 
     monkeypatch.setattr(near_dups, "possible_pairs", counted)
+    monkeypatch.setattr(near_dups, "split", lambda members, *rest: empty.append(members.isEmpty()) or split(members, *rest))
     groups = defaultdict(set)
     for r in near_dups.classes(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", near=near).collect():
         groups[r.class_id].add(r.id)
     assert set(map(frozenset, groups.values())) == merged_by_brute_force(texts, near)
     rows = sum(int(f.read_text()) for f in tmp_path.iterdir())
     assert 0 < rows <= 2 * len(texts), rows
+    assert not any(empty)
 
 
 @pytest.mark.parametrize("most", [0, 2])
