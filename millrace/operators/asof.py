@@ -31,6 +31,13 @@ def daily(events: DataFrame, key: str, at: str, value: Column) -> DataFrame:
     return days.select(key, "day", F.sum("added").over(Window.partitionBy(key).orderBy("day")).alias("total"))
 
 
+def summed_in_order(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    """The keys and total: the sum of value, added row by row in the given order, so that the last bit of a double does not hang on how rows were dealt to tasks. A sum that streams, and no list of a key's rows."""
+    rising = Window.partitionBy(*keys).orderBy(*order, value)
+    running = F.sum(value).over(rising.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.select(*keys, running.alias("total"), F.lead(F.lit(1)).over(rising).alias("next")).where("next is null").drop("next")
+
+
 def as_of_days(history: DataFrame, as_of: str, windows: Sequence[tuple[int, int]]) -> DataFrame:
     """For each window the newest day that is not after as_of minus the window, within its tolerance: the base, one for all keys. Later history is ignored."""
     days = history.where(F.col("day") <= F.lit(as_of).cast("date")).select("day").distinct()
@@ -80,7 +87,7 @@ def acceleration(history: DataFrame, key: str, as_of: str, window: int, settings
 def jumps(history: DataFrame, key: str, least: float, relative: float = 0.0, floor: float = 100.0, keep: float = 0.5) -> DataFrame:
     """Steps between following observations that are at or above the threshold (the greater of `least` and a share of the former value, which counts as `floor` at least), and what the observations strictly after them say:
     unconfirmed if there is none, confirmed if each keeps enough of the step, else transient. kept: the least share of the step that a later one keeps; null if there is none."""
-    order = Window.partitionBy(key).orderBy("day")
+    order = Window.partitionBy(key).orderBy(F.asc_nulls_last("day"))
     later = order.rowsBetween(1, Window.unboundedFollowing)
     steps = history.select(key, "day", "total", F.lag("total").over(order).alias("before"), F.min("total").over(later).alias("low"), F.max("total").over(later).alias("high"))
     step = F.col("total") - F.col("before")

@@ -63,8 +63,10 @@ big AS (SELECT * FROM steps WHERE abs(step) >= greatest(100, 0.5 * greatest(befo
 judged AS (SELECT g.user_id, g.day, g.step, min((l.total - g.before) / g.step) AS kept FROM big g LEFT JOIN numbered l ON l.user_id = g.user_id AND l.n > g.n GROUP BY 1, 2, 3)
 SELECT user_id, CAST(day AS VARCHAR) AS day, round(step, 4) AS step, round(kept, 4) AS kept, CASE WHEN kept IS NULL THEN 'unconfirmed' WHEN kept < 0.5 THEN 'transient' ELSE 'confirmed' END AS outcome FROM judged""")
 def jump_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A step can be just the threshold, and what is kept just half of a digit: what is added up in which order then tells. It is the order of the events."""
     signed = F.when(F.col("event_type") == "error", -F.col("value")).otherwise(F.col("value"))
-    days = read(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.sum(signed).alias("total"))
+    events = read(spark, sf_dir, "events").where("user_id is not null").select("event_id", "user_id", F.to_date("ts").alias("day"), signed.alias("signed"))
+    days = asof.summed_in_order(events, ["user_id", "day"], ["event_id"], "signed")
     return asof.jumps(days, "user_id", 100.0, relative=0.5).withColumn("day", F.col("day").cast("string"))
 
 
